@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import confusables, frequency, mojibake, topn
+from marginalia.llm import confusables, frequency, leakage, mojibake, tokens, topn
 from marginalia.session import table
 
 
@@ -56,6 +56,18 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     return confusables.lookalike_groups(names, "name")
 
 
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.token_ids(table(spark, d, "documents"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return p8_leaks(spark, d).select("doc_id", "item_id").distinct()
+
+
+def p8_leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
@@ -66,4 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p3_repaired": p3_repaired,
         "p5_found": p5_found,
         "p5_groups": p5_groups,
+        "p7_ids": p7_ids,
+        "p8_found": p8_found,
+        "p8_leaks": p8_leaks,
     }
