@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import confusables, frequency, leakage, mojibake, tokens, topn
+from marginalia.llm import abuse, confusables, frequency, leakage, mojibake, tokens, topn
 from marginalia.session import table
 
 
@@ -68,6 +68,18 @@ def p8_leaks(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_scores(spark, d).where("abusive").select("doc_id")
+
+
+def p9_scores(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.abuse_scores(table(spark, d, "documents"))
+
+
+def p9_rates(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.abuse_rates(p9_scores(spark, d))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
@@ -81,4 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p7_ids": p7_ids,
         "p8_found": p8_found,
         "p8_leaks": p8_leaks,
+        "p9_found": p9_found,
+        "p9_scores": p9_scores,
+        "p9_rates": p9_rates,
     }
