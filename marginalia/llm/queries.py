@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import abuse, confusables, frequency, leakage, mojibake, tokens, topn
+from marginalia.llm import abuse, confusables, frequency, leakage, mojibake, names, tokens, topn
 from marginalia.session import table
 
 
@@ -56,6 +56,16 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     return confusables.lookalike_groups(names, "name")
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    reg = names.register(table(spark, d, "openalex_authors"))
+    apa = names.link_references(table(spark, d, "paper_rows"), "row_pos", "apa", reg)
+    people = table(spark, d, "lab_papers").select("row_pos", F.explode("coauthors").alias("name"))
+    lab = names.link_names(people, "row_pos", "name", reg)
+    return apa.select(F.lit("paper_rows").alias("tbl"), "row_pos", "author_id").unionByName(
+        lab.select(F.lit("lab_papers").alias("tbl"), "row_pos", "author_id")
+    )
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.token_ids(table(spark, d, "documents"))
 
@@ -90,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p3_repaired": p3_repaired,
         "p5_found": p5_found,
         "p5_groups": p5_groups,
+        "p6_found": p6_found,
         "p7_ids": p7_ids,
         "p8_found": p8_found,
         "p8_leaks": p8_leaks,
