@@ -5,16 +5,45 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: The application that this process has shipped the package to.
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, so that its Python functions can be read there."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    here = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="marginalia-")) / "marginalia.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, Path(here.name) / f.relative_to(here))
+    spark.sparkContext.addPyFile(str(target))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table ``name`` of a data directory (a file or a folder of part files)."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least two partitions a core, for expensive Python work; data in enough files is left where it lies.
+
+    A file is counted as one partition: its row groups can't be known to be several.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= 2 * cores else df.repartition(2 * cores)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where that is unset.
 
