@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm.confusables import consistent
+from marginalia.session import spread
 
 # The lexicon. A word's weight is what one hit adds; a passage counts from THRESHOLD on.
 #: Words that are abusive or explicit wherever they are used, not mentioned.
@@ -314,7 +315,7 @@ def abuse_scores(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sour
     a NULL source stays NULL; extra columns are dropped; texts of any length are read whole.
     """
     key = df.schema[doc_id].dataType.simpleString()
-    rows = df.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"), F.col(source).cast("string").alias("source"))
+    rows = spread(df.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"), F.col(source).cast("string").alias("source")))
     out = rows.mapInArrow(_judge, f"id {key}, source string, score double, kind string, passage string")
     return out.withColumn("abusive", F.col("score") >= THRESHOLD).withColumnsRenamed({"id": doc_id, "source": source})
 

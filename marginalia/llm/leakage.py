@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marginalia.session import spread
+
 #: A passage is so many words, the next begins STEP later; every run of RUN words lies whole in one.
 PASSAGE, STEP, RUN = 40, 20, 15
 #: BM25, the postings of a block, and the share of an item's weakest run that a passage must score (an altered whole shows
@@ -271,6 +273,6 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
         raise ValueError(f"more than {max_items} test items: split them, one call for each part")
     shared = spark.sparkContext.broadcast(build([(r["i"], r["t"]) for r in rows]))
     key = docs.schema[doc_id].dataType.simpleString()
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text <> ''")
+    texts = spread(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text <> ''"))
     out = texts.mapInArrow(_search(shared), f"id {key}, item_id bigint, kind string, share double")
     return out.withColumnRenamed("id", doc_id)

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marginalia.session import spread
+
 #: Encodings that UTF-8 bytes are commonly misread as. cp1252 falls back to the C1 control for bytes it leaves undefined.
 MISREAD_AS = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1251", "cp1250", "iso8859_15")
 #: Single-byte pairs: (misread as, intended).
@@ -213,6 +215,6 @@ def garbled(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     as garbled and stay in ``fixed``; ``path`` is '' if nothing could be restored; every row is judged for itself, so
     repeated rows come out as often as they stand; extra columns are dropped; very long texts are handled run by run.
     """
-    rows = df.select(*keys, F.col(text).alias("text")).where(foreign(F.col("text")))
+    rows = spread(df.select(*keys, F.col(text).alias("text")).where(foreign(F.col("text"))))
     schema = T.StructType([*rows.schema.fields, T.StructField("fixed", T.StringType()), T.StructField("path", T.StringType())])
     return rows.mapInArrow(_repair, schema)

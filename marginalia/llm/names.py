@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from marginalia.llm.confusables import consistent_text
 from marginalia.llm.mojibake import repair_text
+from marginalia.session import spread
 
 # Name parts that aren't names, short forms of given names, and kinds of organisations.
 PARTICLES = frozenset("de la le du van der den von zu dos da do di del della ter ten af".split())
@@ -309,8 +310,8 @@ def read_org(reg: Register, text: str) -> str | None:
 
 
 def clean(text: str) -> str:
-    """Names with proper characters: wrong decoding repaired, look-alikes in one form."""
-    return text if text.isascii() else consistent_text(repair_text(text)[0])
+    """Names with proper characters: wrong decoding repaired, lost characters left out, look-alikes in one form."""
+    return text if text.isascii() else consistent_text(repair_text(text)[0].replace("\ufffd", ""))
 
 
 def mentions_of_name(reg: Register, name: str | None) -> list[str]:
@@ -412,12 +413,12 @@ def link_names(df: DataFrame, key: str, name: str, reg) -> DataFrame:
     Equal (key, name) rows come out once. NULL and empty names name nobody. ``reg`` comes from :func:`register`.
     """
     kind = df.schema[key].dataType.simpleString()
-    rows = df.select(F.col(key).alias("id"), F.col(name).alias("name")).where("name <> ''")
+    rows = spread(df.select(F.col(key).alias("id"), F.col(name).alias("name")).where("name <> ''"))
     return rows.mapInArrow(_link(reg, True), f"id {kind}, author_id string").distinct().withColumnRenamed("id", key)
 
 
 def link_references(df: DataFrame, key: str, apa: str, reg) -> DataFrame:
     """(key, author_id) for every registered author that the author part of the reference ``apa`` names; defined cases as in :func:`link_names`."""
     kind = df.schema[key].dataType.simpleString()
-    rows = df.select(F.col(key).alias("id"), F.col(apa).alias("apa")).where("apa <> ''")
+    rows = spread(df.select(F.col(key).alias("id"), F.col(apa).alias("apa")).where("apa <> ''"))
     return rows.mapInArrow(_link(reg, False), f"id {kind}, author_id string").distinct().withColumnRenamed("id", key)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import abuse, confusables, frequency, leakage, mojibake, names, tokens, topn
+from marginalia.llm import abuse, confusables, frequency, leakage, mojibake, names, neardup, tokens, topn
 from marginalia.session import table
 
 
@@ -42,6 +42,14 @@ def p3_repaired(spark: SparkSession, d: str) -> DataFrame:
     return _garbled(spark, d).select("tbl", "row_pos", "text", "fixed", "path")
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.same_paper_pairs(table(spark, d, "paper_rows"))
+
+
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.same_paper_classes(table(spark, d, "paper_rows"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     apa = confusables.inconsistent(table(spark, d, "paper_rows"), ["row_pos"], "apa", skip_garbled=True)
     names = table(spark, d, "lab_papers").select("row_pos", F.explode("coauthors").alias("name"))
@@ -98,6 +106,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_frequencies": p2_frequencies,
         "p3_found": p3_found,
         "p3_repaired": p3_repaired,
+        "p4_found": p4_found,
+        "p4_classes": p4_classes,
         "p5_found": p5_found,
         "p5_groups": p5_groups,
         "p6_found": p6_found,

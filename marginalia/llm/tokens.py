@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marginalia.session import spread
+
 #: Where the public vocabularies lie, and the pattern that splits text before their merges (the same on every release).
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -170,7 +172,7 @@ def token_ids(df: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabul
     text comes out once, the same id with several texts once per text; extra columns are dropped; empty input, empty result.
     """
     key = df.schema[doc_id].dataType.simpleString()
-    docs = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    docs = spread(df.select(F.col(doc_id).alias("id"), F.col(text).alias("text")))
     chunks = docs.where("text <> ''").mapInArrow(_chunks, f"id {key}, whole bigint, seq int, k1 bigint, k2 bigint, chunk string")
     book = (
         chunks.groupBy("k1", "k2")
