@@ -22,19 +22,22 @@ def _particle(t: Column) -> Column:
 
 def split_name(display: Column) -> Column:
     """struct(family, given): the last word and the particles before it, never the first word, are the family name."""
-    toks = tokens(display)
+    return _step(tokens(display), _split)
+
+
+def _step(c: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it."""
+    return F.element_at(F.transform(F.array(c), f), 1)
+
+
+def _split(toks: Column) -> Column:
     n = F.size(toks)
-    middle = F.reverse(F.slice(toks, 2, F.greatest(n - 2, F.lit(0))))
-    run = F.aggregate(
-        middle,
-        F.struct(F.lit(0).alias("k"), F.lit(True).alias("on")),
-        lambda acc, t: F.struct((acc["k"] + F.when(acc["on"] & _particle(t), 1).otherwise(0)).alias("k"), (acc["on"] & _particle(t)).alias("on")),
-        lambda acc: acc["k"],
-    )
-    own = run + 1
-    return F.when(n > 0, F.struct(F.array_join(F.slice(toks, n - own + 1, own), " ").alias("family"), F.array_join(F.slice(toks, F.lit(1), n - own), " ").alias("given"))).otherwise(
-        F.struct(F.lit("").alias("family"), F.lit("").alias("given"))
-    )
+    middle = F.reverse(F.slice(toks, F.lit(2), F.greatest(n - 2, F.lit(0))))
+    # the first of the words before the last, read backwards, that is no particle ends the run
+    run = F.array_position(F.transform(middle, lambda t: _particle(t)), F.lit(False)) - 1
+    own = F.when(run < 0, F.size(middle)).otherwise(run).cast("int") + 1
+    cut = _step(own, lambda k: F.struct(F.array_join(F.slice(toks, n - k + 1, k), " ").alias("family"), F.array_join(F.slice(toks, F.lit(1), n - k), " ").alias("given")))
+    return F.when(n > 0, cut).otherwise(F.struct(F.lit("").alias("family"), F.lit("").alias("given")))
 
 
 def initials(given: Column) -> Column:
@@ -47,17 +50,20 @@ def initials(given: Column) -> Column:
 def fix_family(family: Column) -> Column:
     """Without parentheses; all-capital names and single lower-case words get a capital first letter."""
     bare = F.trim(F.regexp_replace(family, rf"{WS}*\([^)]*\){WS}*", " "))
-    return F.when(is_upper(bare), F.initcap(bare)).when(is_lower(bare) & ~bare.contains(" "), F.initcap(bare)).otherwise(bare)
+    return _step(bare, lambda x: F.when(is_upper(x) | (is_lower(x) & ~x.contains(" ")), F.initcap(x)).otherwise(x))
 
 
 def person(family: Column, given: Column) -> Column:
     """'Family, I. N.'; initials that stand before the family name move to the given names."""
     lead = rf"^((?:[A-ZÀ-Ý]\.{WS}*)+)(\S.*)$"
-    fam = F.trim(family)
-    moved = fam.rlike(lead)
-    g = F.when(moved, F.trim(F.concat_ws(" ", given, F.trim(F.regexp_extract(fam, lead, 1))))).otherwise(F.coalesce(given, F.lit("")))
-    f = F.when(moved, F.regexp_extract(fam, lead, 2)).otherwise(fam)
-    return F.trim(F.regexp_replace(F.concat(fix_family(f), F.lit(", "), initials(g)), r"[, ]+$", ""))
+
+    def whole(x: Column) -> Column:
+        moved = F.regexp_extract(x["f"], lead, 1)
+        f = F.when(moved != "", F.regexp_extract(x["f"], lead, 2)).otherwise(x["f"])
+        g = F.trim(F.concat_ws(" ", x["g"], F.trim(moved)))
+        return F.trim(F.regexp_replace(F.concat(fix_family(f), F.lit(", "), initials(g)), r"[, ]+$", ""))
+
+    return _step(F.struct(F.trim(family).alias("f"), F.coalesce(given, F.lit("")).alias("g")), whole)
 
 
 def join_authors(people: Column) -> Column:

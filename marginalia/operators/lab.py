@@ -14,7 +14,9 @@ from marginalia.operators.ranking import first_by_key
 def people(names: Column) -> Column:
     """Display names in reference style; empty and NULL ones are left out."""
     full = F.filter(F.coalesce(names, F.array().cast("array<string>")), lambda x: x.isNotNull() & (F.trim(x) != ""))
-    return F.transform(full, lambda x: person(split_name(x)["family"], split_name(x)["given"]))
+    # one step after the other: nested in one expression, each step would be written out for every use of it
+    halves = F.transform(full, split_name)
+    return F.transform(halves, lambda x: person(x["family"], x["given"]))
 
 
 def paper_rows(works: DataFrame) -> DataFrame:
