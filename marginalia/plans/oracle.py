@@ -181,11 +181,10 @@ f as (select *, trim(regexp_replace(regexp_replace(b, '([?!])\.({_WS}|$)', '\1\2
   array_to_string(list_filter([case when regexp_matches(apa, '{_MARKUP}') then 'markup' end, case when regexp_matches(a, '[‐‑]') then 'hyphen' end, case when regexp_matches(b, '[?!]\.') then 'terminal' end], lambda x: x is not null), ',') as changes from b)
 select row_pos, case when changes <> '' then f else apa end as fixed, changes from f""",
         "reference_list": "with r as (select trim(apa) as a, min_by(link, row_pos) as link, min(row_pos) as first_pos from paper_rows where coalesce(trim(apa), '') <> '' group by 1) select case when regexp_matches(a, '[.?!]$') then a else concat(a, '.') end as reference, link, first_pos from r",
-        "reference_order": f"select min(row_pos) as first_pos, regexp_replace({_FOLD.format('trim(apa)')}, '[^a-z]', '', 'g') as sort_key from paper_rows where coalesce(trim(apa), '') <> '' group by trim(apa)",
         "suspect_surnames": rf"""{_PARSED},
 x as (select row_pos, trim(regexp_replace(unnest(regexp_extract_all(authors, '(?:^|,[\t-\r ]|…[\t-\r ])([^,]+?),[\t-\r ]+(?:[A-ZÀ-Ý]\.)', 1)), '^[&…][\t-\r ]*', '')) as surname from p where ok and apa is not null),
-t as (select distinct row_pos, surname, list_filter(string_split_regex(surname, '{_WS}+'), lambda w: w <> '') as ws from x)
-select row_pos, surname from t where len(ws) > 1 and len(list_filter(ws, lambda w: regexp_matches(lower(w), '^\.*({_PARTS})\.*$'))) = 0""",
+sn as (select distinct row_pos, surname, list_filter(string_split_regex(surname, '{_WS}+'), lambda w: w <> '') as ws from x)
+select row_pos, surname from sn where len(ws) > 1 and len(list_filter(ws, lambda w: regexp_matches(lower(w), '^\.*({_PARTS})\.*$'))) = 0""",
         "cite_keys": f"{_KEYS} select row_pos, key from keys",
         "cites_in_text": f"with {_CITED.strip()} select doc_id, citation from cited",
         "cite_resolution": f"""{_KEYS}, {_CITED.strip()},
