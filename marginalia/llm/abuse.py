@@ -63,7 +63,7 @@ PHRASES = {
     ],
     "hate": [
         "that|those|such .. vermin|plague|parasites|subhumans", "team|staff|lab are .. that .. garbage|trash|scum|filth", "are .. that a disease|plague", "your kind .. out|fence|back|exterminated", "round up .. ship|shipped|them", "they|them are|is a plague|disease|vermin|cancer", "good for one thing", "get back to the|your bedroom|kitchen|country", "go back to .. country",
-        "no crime to hit|kill|beat", "in their blood", "ship them off|back|out", "never have let .. in", "handing .. to a monkey", "lie and steal", "keep them away", "a clean lab|country|street", "do not feel .. the way we",
+        "no crime to hit|kill|beat", "in their blood", "ship them off|back|out", "they breed", "are vermin|subhuman|parasites", "should be driven|thrown|kicked out", "never have let .. in", "handing .. to a monkey", "lie and steal", "keep them away", "a clean lab|country|street", "do not feel .. the way we",
     ],
 }
 #: Words near a hit that show address: the hit is meant for somebody.
@@ -80,8 +80,7 @@ _TAG = re.compile(r"</?[a-zA-Z][^<>]{0,300}>")
 _HARD = re.compile(r"(?<=[^\W\d_])-[ \t]*\r?\n[ \t>]*(?=[^\W\d_])")
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W_][ .\-_*]){3,}[^\W_](?![^\W_])")
 _DOTTED = re.compile(r"(?<![^\W_])[^\W\d_][.*_\-](?=[^\W\d_]{3})")
-_INNER = re.compile(r"(?<=[^\W\d_])[.*_](?=[^\W\d_])")
-_TOKEN = re.compile(r"[^\W_](?:[^\W_]|[$@!*'’](?=[^\W_]))*[$]?|\$[^\W_]+\$?|[.!?;\n]")
+_TOKEN = re.compile(r"[^\W_](?:[^\W_]|[$@!*#'’](?=[*#]*[^\W_]))*[$]?|\$[^\W_]+\$?|[.!?;\n]")
 _WIDE_SCRIPT = re.compile(r"[぀-ヿ一-鿿]")
 
 
@@ -157,14 +156,15 @@ def canonical(token: str) -> str:
     plain = token
     if not plain.isalpha():
         plain = plain.translate(_LEET) if any(c.isalpha() for c in plain) else plain
-        plain = "".join(c for c in plain if c.isalpha() or c in "*'’")
+        plain = "".join(c for c in plain.replace("#", "*") if c.isalpha() or c in "*'’")
         if plain in _ALL:
             return plain
         if "*" in plain:
-            r = re.compile(plain.replace("*", "[^ ]{1,3}"))
-            for w in STRONG:
-                if r.fullmatch(w):
-                    return w
+            # starred-out letters: as many as there are stars, else any few
+            for r in (plain.replace("*", "."), re.sub(r"\*+", ".{1,4}", plain)):
+                for w in (*STRONG, *MILD):
+                    if len(w) >= 4 and re.fullmatch(r, w):
+                        return w
     short = re.sub(r"(.)\1+", r"\1", plain)
     if short != plain and re.search(r"(.)\1\1", plain):
         for t in (re.sub(r"(.)\1{2,}", r"\1", plain), re.sub(r"(.)\1{2,}", r"\1\1", plain), short):

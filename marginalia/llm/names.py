@@ -275,6 +275,7 @@ def read_person(reg: Register, text: str) -> tuple[float, str] | None:
 def _kind(w: str) -> str | None:
     """The kind of organisation that a word names or abbreviates."""
     w = fold(w)
+    w = {"ctr": "centre", "cntr": "centre", "ctre": "centre", "lbr": "laboratory", "labo": "laboratory"}.get(w, w)
     for k in ORG_KINDS:
         if w == k or len(w) >= 3 and k.startswith(w) or len(w) >= 5 and (_letters(w) ^ _letters(k)).bit_count() <= 2 and distance(w, k) <= 1:
             return "centre" if k == "center" else k
