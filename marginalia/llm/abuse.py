@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.confusables import consistent
+from marginalia.llm.confusables import consistent, skeleton
 from marginalia.session import spread
 
 # The lexicon. A word's weight is what one hit adds; a passage counts from THRESHOLD on.
@@ -27,7 +27,7 @@ merda caralho porra foda fodasse puta cuzão viado arrombado
 """.split()
 #: Insults and dehumanising words that are also used innocently: they need an addressee or company.
 MILD = """
-idiot idiots moron morons imbecile imbecil imbécil imbécile cretin cretins halfwit dimwit fool loser losers clown crank scum vermin cockroach parasite leech maggot
+idiot idiots moron morons imbecile imbecil imbécil imbécile cretin cretins halfwit dimwit fool loser losers clown crank scum scumbag scumbags sleazebag douchebag vermin cockroach parasite leech maggot
 rat pig filth filthy stupid dumb pathetic disgusting worthless useless brainless spineless miserable garbage trash stink bastard bitch ugly
 cock dick pussy tits naked nude moaned thrust skirt screw idiota estúpido estúpida idiotische dummer dumme dummkopf trottel abruti
 дурак идиот тупой придурок
@@ -72,15 +72,15 @@ ADDRESS = set("you your yours u ur yourself author authors whoever du dich dir d
 MENTION = set(
     """lexicon lexicons dictionary annotators annotated labelled labeled insult insults quoted phages phage genes gene backoff whelping prey infects pest""".split()
 )
-THRESHOLD, WIDE = 1.0, 12
-_STRONG, _MILD, _ADDED, _OFF = 1.0, 0.5, 0.5, 1.0
+THRESHOLD, WIDE, MENTIONED = 1.0, 12, 7
+_STRONG, _MILD, _ADDED = 1.0, 0.5, 0.5
 
 _LEET = str.maketrans({"1": "i", "0": "o", "3": "e", "4": "a", "5": "s", "7": "t", "$": "s", "@": "a", "!": "i", "€": "e"})
 _TAG = re.compile(r"</?[a-zA-Z][^<>]{0,300}>")
 _HARD = re.compile(r"(?<=[^\W\d_])-[ \t]*\r?\n[ \t>]*(?=[^\W\d_])")
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W_][ .\-_*]){3,}[^\W_](?![^\W_])")
 _DOTTED = re.compile(r"(?<![^\W_])[^\W\d_][.*_\-](?=[^\W\d_]{3})")
-_TOKEN = re.compile(r"[^\W_](?:[^\W_]|[$@!*#'’](?=[*#]*[^\W_]))*[$]?|\$[^\W_]+\$?|[.!?;\n]")
+_TOKEN = re.compile(r"[^\W_](?:[^\W_]|[$@!*#'’](?=[$@*#]*[^\W_]))*[$]?|\$[^\W_]+\$?|[.!?;\n]")
 _WIDE_SCRIPT = re.compile(r"[぀-ヿ一-鿿]")
 
 
@@ -154,6 +154,10 @@ def canonical(token: str) -> str:
     if token in _ALL:
         return token
     plain = token
+    if not token.isascii():  # a word wholly of look-alikes
+        plain = unicodedata.normalize("NFC", skeleton(token))
+        if plain in _ALL:
+            return plain
     if not plain.isalpha():
         plain = plain.translate(_LEET) if any(c.isalpha() for c in plain) else plain
         plain = "".join(c for c in plain.replace("#", "*") if c.isalpha() or c in "*'’")
@@ -262,23 +266,19 @@ def passage(tokens: list[str]) -> tuple[float, str]:
         if r.search(line):
             score += _STRONG
             kind = kind or k
-    for i in strong:
-        score += _STRONG
-        kind = kind or "abuse"
-    for i in mild:
-        near = tokens[max(0, i - WIDE) : i + WIDE + 1]
-        score += _MILD + (_ADDED if any(t in ADDRESS for t in near) else 0.0)
+    def near(i: int, width: int) -> list[str]:
+        return tokens[max(0, i - width) : i + width + 1]
+
+    for i in strong + mild:
+        if any(t in MENTION for t in near(i, MENTIONED)):
+            continue  # the word is mentioned or means something else here
+        score += _STRONG if tokens[i] in _STRONG_SET else _MILD + (_ADDED if any(t in ADDRESS for t in near(i, WIDE)) else 0.0)
         kind = kind or "abuse"
     for i in group:
-        near = tokens[max(0, i - WIDE) : i + WIDE + 1]
-        if any(t in _DEGRADE_SET for t in near):
+        if any(t in _DEGRADE_SET for t in near(i, WIDE)) and not any(t in MENTION for t in near(i, MENTIONED)):
             score += _MILD + _ADDED
             kind = "hate"
-    if score:
-        hits = strong + mild + group
-        lo, hi = (min(hits), max(hits)) if hits else (0, len(tokens))
-        score -= _OFF * sum(t in MENTION for t in tokens[max(0, lo - WIDE) : hi + WIDE + 1])
-    return max(0.0, score), kind
+    return score, kind
 
 
 _STRONG_SET, _MILD_SET, _GROUP_SET, _DEGRADE_SET = map(frozenset, (STRONG, MILD, GROUPS, DEGRADE))

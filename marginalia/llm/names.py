@@ -251,9 +251,10 @@ def read_person(reg: Register, text: str) -> tuple[float, str] | None:
     bare = re.sub(r"[“\"][^”\"]*[”\"]", " ", bare)
     tokens = _name_words(bare)
     best = None
-    for alt in (tokens, [nick.group(1), *tokens[1:]] if nick and tokens and not best else None):
-        if not alt or best:
-            continue
+    short = nick and nick.group(1)
+    for alt in (tokens, *([[short, *tokens[1:]], [*tokens, short]] if short and tokens else [])):
+        if best:
+            break
         for i, w in enumerate(alt):
             f = fold(w)
             if len(f) >= 4 or f in reg.by_family:
