@@ -13,6 +13,7 @@ def cites(openalex: str = "cite_openalex", s2: str = "cite_s2") -> Column:
 
 def last_by_key(df: DataFrame, key: str, pos: str = "row_pos") -> DataFrame:
     """The last row of every key (later rows overwrite earlier ones)."""
+    # "_n = 1" lets Spark keep one row per key and task before the shuffle, so a hot key travels once per task
     w = Window.partitionBy(key).orderBy(F.col(pos).desc())
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
@@ -20,7 +21,8 @@ def last_by_key(df: DataFrame, key: str, pos: str = "row_pos") -> DataFrame:
 def first_by_key(df: DataFrame, key: str, pos: str = "row_pos") -> DataFrame:
     """The first row of every key; rows without a key are kept each."""
     w = Window.partitionBy(key).orderBy(pos)
-    return df.withColumn("_n", F.row_number().over(w)).where((F.col("_n") == 1) | F.col(key).isNull()).drop("_n")
+    first = df.where(F.col(key).isNotNull()).withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    return first.unionByName(df.where(F.col(key).isNull()))
 
 
 def top_per_group(df: DataFrame, group: str, n: int, score: Column, *ties: str) -> DataFrame:
