@@ -33,3 +33,61 @@ def beeswarm(points: DataFrame, lane: str, x: str, tie: str) -> DataFrame:
         return pdf.assign(offset=swarm(pdf[x].tolist()))[[lane, tie, x, "offset"]]
 
     return points.selectExpr(f"cast({lane} as string) {lane}", f"cast({tie} as string) {tie}", f"cast({x} as double) {x}").groupBy(lane).applyInPandas(run, schema)
+
+
+#: Distances of a label from its dot, nearest first, above and below in turn.
+TIERS = (-18, 19, -33, 34, -49, 50, -66, 67, -84, 85, -103, 104)
+
+
+def place_labels(dots: list[tuple[float, float, str]], others: list[tuple[float, float]] = ()) -> list[int]:
+    """For each labelled dot (x, y, text), lane by lane and from left to right, the first tier whose box clears earlier labels and all other big dots; the last if none does."""
+    boxes: list[tuple[float, float, float, float]] = []
+    big = [(x, y) for x, y, _ in dots] + list(others)
+    out = []
+    for x, y, text in dots:
+        half = (len(text) * 6.2 + 8) / 2
+
+        def box(tier: int) -> tuple[float, float, float, float]:
+            return x - half, x + half, y + tier - 8, y + tier + 6  # noqa: B023
+
+        def free(b: tuple[float, float, float, float]) -> bool:
+            apart = all(b[1] < o[0] or o[1] < b[0] or b[3] < o[2] or o[3] < b[2] for o in boxes)
+            hit = any(b[0] - 11 <= dx <= b[1] + 11 and b[2] - 11 <= dy <= b[3] + 11 for dx, dy in big if abs(dx - x) >= 0.5 or abs(dy - y) >= 0.5)  # noqa: B023
+            return apart and not hit
+
+        tier = next((t for t in TIERS if free(box(t))), TIERS[-1])
+        boxes.append(box(tier))
+        out.append(tier)
+    return out
+
+
+def ticks(lo: int, hi: int, at, warped: bool, gap: float = 34) -> list[int]:
+    """The years of an axis: every fifth (tenth over long linear spans), those too near their left neighbour left out. ``at`` gives a year's place."""
+    step = 5 if warped or hi - lo <= 40 else 10
+    out: list[int] = []
+    for year in range(-(-lo // step) * step, hi + 1, step):
+        if not out or at(year) - at(out[-1]) >= gap:
+            out.append(year)
+    return out
+
+
+def big_dots(points: DataFrame, lane: str, x: str, tie: str, spread: bool) -> DataFrame:
+    """Labelled dots: on the middle of their lane, or as a wide swarm where a source is emphasised."""
+    from pyspark.sql import functions as F
+
+    if not spread:
+        return points.select(F.col(lane).cast("string"), F.col(tie).cast("string"), F.col(x).cast("double"), F.lit(0.0).alias("offset"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([x, tie], kind="stable")
+        return pdf.assign(offset=swarm(pdf[x].tolist(), 7, 12, 42))[[lane, tie, x, "offset"]]
+
+    typed = points.selectExpr(f"cast({lane} as string) {lane}", f"cast({tie} as string) {tie}", f"cast({x} as double) {x}")
+    return typed.groupBy(lane).applyInPandas(run, f"{lane} string, {tie} string, {x} double, offset double")
+
+
+def arrows(spec: DataFrame, positions: DataFrame) -> DataFrame:
+    """Editorial arrows with the places of both ends; one whose end isn't drawn is left out. ``spec`` has from, to, color, label; ``positions`` ref, x, y."""
+    a = positions.selectExpr("ref as `from`", "x as x1", "y as y1")
+    b = positions.selectExpr("ref as `to`", "x as x2", "y as y2")
+    return spec.join(a, "from").join(b, "to")

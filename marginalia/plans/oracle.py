@@ -148,6 +148,9 @@ union all select 5, 'unknown-key', family from (select distinct family from a) w
 b as (select topic, case when regexp_matches(topic, '^\s*[A-Za-z0-9]+[.)]') then regexp_extract(topic, '^\s*([A-Za-z0-9]+)[.)]', 1)
    else coalesce(nullif(substring(regexp_replace(coalesce(regexp_extract(topic, '\S+'), '?'), '[^A-Za-z0-9]+', '', 'g'), 1, 4), ''), '?') end as base from t),
 n as (select *, row_number() over (partition by base order by topic) as n from b) select topic, concat(base, case when n > 1 then cast(n as varchar) else '' end) as code from n""",
+        "canonical_source": rf"""with a as (select row_pos, {_DOI_OF} as d, regexp_replace(trim({_ARXIV}), 'v\d+$', '') as a from paper_rows),
+s as (select *, case when d is not null and not regexp_matches(d, '(?i)10\.48550/arxiv\.') then 'crossref' when a is not null then 'arxiv' end as source from a)
+select row_pos, source, case source when 'crossref' then lower(d) when 'arxiv' then a end as id from s""",
         "family_digest": f"select row_pos, concat_ws(chr(9), coalesce(ref, ''), coalesce(topic, ''), coalesce(cast(cite_openalex as varchar), ''), concat({_LEAD}, ' (', cast(coalesce({_YEAR}, 0) as varchar), ')'), substring(coalesce(summary, ''), 1, 240)) as line from paper_rows",
         "coverage": "select count(*) as n, "
         + ", ".join(f"count_if(coalesce(trim({c}), '') <> '') as n_{c}" for c in ("doi", "arxiv", "pdf", "apa", "title", "family", "canonical_at"))

@@ -11,7 +11,7 @@ from marginalia.functions import apa as A
 from marginalia.functions import audit, citekeys, names, titles
 from marginalia.functions import doi as D
 from marginalia.functions.text import fold, unescape
-from marginalia.operators import citecheck, counts, duplicates, families, graph, lab, layout, ranking, reconcile, references, verify
+from marginalia.operators import canonical, citecheck, counts, duplicates, families, graph, lab, layout, ranking, reconcile, references, verify
 from marginalia.plans import bridge
 from marginalia.session import table
 
@@ -360,6 +360,10 @@ def download_order(s, d):
     return _rows(s, d).select("row_pos", F.array_join(c, " ").alias("urls"))
 
 
+def canonical_source(s, d):
+    return canonical.choose(_rows(s, d))
+
+
 def html_text(s, d):
     docs = table(s, d, "documents").where("source like 'html%' and text is not null")
     return docs.select("doc_id", F.trim(F.regexp_replace(unescape(F.regexp_replace("text", r"<[^<>]+>", " ")), r"[ \t\r\n]+", " ")).alias("text"))
@@ -374,6 +378,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             doi_normalize, arxiv_ids, parse_apa, lead_surname_year, split_names, format_authors, lab_references, lab_numbered, lab_dedup_first_wins, lab_author_spans, lab_detection, clean_venue,
             title_markup_strip, norm_titles, fold_authors, abstract_rebuild, audit_findings, audit_summary, suspect_surnames, repair_refs, reference_list, reference_order, cite_keys, cites_in_text, cite_resolution, pdf_dois,
             counts_max_wins, counts_latest, counts_reconciled, attach_counts, rows_to_citations, rows_to_papers, verify_verdicts, verify_tallies, unique_key_gate, doi_collisions, dup_same_link, dup_similar_titles,
-            filename_doi_match, text_signal_match, text_best_match, slug_claims, sentence_case_vocab, beeswarm_layout, download_order, html_text,
+            filename_doi_match, text_signal_match, text_best_match, slug_claims, sentence_case_vocab, beeswarm_layout, download_order, canonical_source, html_text,
         )
     }

@@ -6,7 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from marginalia.sinks import reports, tables
+from marginalia.sinks import docs, reports, tables
 from marginalia.sources import files, records, services
 from marginalia.streaming import batches
 
@@ -106,3 +106,29 @@ def test_streaming(spark, tmp_path):
     assert sorted(r["ref"] for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == ["a", "b", "b"]
     ev = spark.sql("select timestamp'2024-01-01 10:00:00' ts, 'x' k union all select timestamp'2024-01-01 23:00:00', 'x'")
     assert batches.windowed_counts(ev, "ts", "k").head()["n"] == 2
+
+
+def test_downloads(tmp_path):
+    asked = []
+
+    def get(url):
+        asked.append(url)
+        if "arxiv" in url:
+            raise OSError
+        return b"%PDF" + b"x" * 6000 if "open" in url else b"<html>"
+
+    sources = files.candidates("2305.1", ["https://blocked.org/a", "https://html.org/a", "https://open.org/a"], "PMC1")
+    assert files.download("s", sources, str(tmp_path), get, ("blocked.org",))[0] == "unpaywall" and len(asked) == 3
+    assert files.download("s", sources, str(tmp_path), get)[0] == "exists" and files.download("t", [], str(tmp_path), get)[0] == "FAIL"
+    moves = [(str(tmp_path / "s.pdf"), "slug")]
+    assert files.rename(moves, str(tmp_path)) and (tmp_path / "s.pdf").exists() and files.rename(moves, str(tmp_path), dry=False) and (tmp_path / "slug.pdf").exists()
+
+
+def test_docs(tmp_path):
+    assert docs.purpose('"""One thing. Another."""') == "One thing." and docs.purpose("x = 1") == ""
+    text = f"a {docs.BEGIN} old {docs.END} b"
+    new = docs.splice(text, "new")
+    assert new == f"a {docs.BEGIN}\nnew\n{docs.END} b" and docs.stale(text, "new") and not docs.stale(new, "new")
+    with pytest.raises(ValueError):
+        docs.splice("no marks", "x")
+    assert docs.wrap("aa bb cccccccc d", 5) == ["aa bb", "cccccccc", "d"]

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from marginalia.operators import citecheck, counts, duplicates, families, graph, lab, layout, ranking, reconcile, references, verify
+from marginalia.operators import canonical, citecheck, counts, duplicates, families, graph, lab, layout, ranking, reconcile, references, verify
 
 
 def rows(df):
@@ -130,3 +130,28 @@ def test_layout_and_lab(spark):
     assert df.select(lab.download_candidates(F.col("b"), F.col("o"))).head()[0] == ["u", "v", "https://europepmc.org/1"]
     s = spark.createDataFrame([("search", "Smith, A., & Lee, B. (2000). Jones"), ("lab", None), (None, "Smithson, A. (2000)")], "s string, a string")
     assert [r[0] for r in s.select(lab.is_lab(F.col("s"), F.col("a"), ["smith"])).collect()] == [True, True, False]
+
+
+def test_canonical(spark):
+    r = spark.createDataFrame(
+        [(1, "10.1/X", None, None, "old", None, None), (2, "10.48550/arXiv.5v2", None, None, "old", None, "V"), (3, None, None, None, "old", "2020", None), (4, "10.1/t", None, None, "old", None, None)],
+        "row_pos int, doi string, link string, arxiv string, apa string, canonical_at string, venue string",
+    ).withColumn("source", F.lit("search"))
+    rec = spark.createDataFrame(
+        [("crossref", "10.1/x", "hit", ["A, B."], "2001", "WHY?", "J", "1", None, None), ("arxiv", "5", "hit", ["C, D."], "2002", "T", None, None, None, None), ("crossref", "10.1/t", "transient", None, None, None, None, None, None, None)],
+        "source string, id string, status string, people array<string>, year string, title string, journal string, volume string, issue string, pages string",
+    )
+    assert {x["source"] for x in canonical.rebuild(r, rec, "2024-01-01").collect()} == {"search"}
+    got = {x["row_pos"]: (x["canon_status"], x["apa"], x["canonical_at"]) for x in canonical.rebuild(r, rec, "2024-01-01").collect()}
+    assert got == {1: ("rebuilt", "A, B. (2001). Why? J, 1.", "2024-01-01"), 2: ("rebuilt", "C, D. (2002). T. V.", "2024-01-01"), 3: ("no-source", "old", "2020"), 4: ("transient", "old", None)}
+
+
+def test_labels_and_ticks(spark):
+    assert layout.place_labels([(0, 0, "abc"), (5, 0, "abc")]) == [-18, -33]
+    assert layout.ticks(1998, 2020, lambda y: y * 10, True) == [2000, 2005, 2010, 2015, 2020]
+    assert layout.ticks(1950, 2020, lambda y: y, False) == [1950, 1990]
+    pos = spark.createDataFrame([("a", 1.0, 2.0), ("b", 3.0, 4.0)], "ref string, x double, y double")
+    spec = spark.createDataFrame([("a", "b"), ("a", "z")], "`from` string, `to` string")
+    assert [(r["x1"], r["x2"]) for r in layout.arrows(spec, pos).collect()] == [(1.0, 3.0)]
+    pts = spark.createDataFrame([("f", "a", 0.0), ("f", "b", 0.0)], "lane string, ref string, x double")
+    assert sorted(r["offset"] for r in layout.big_dots(pts, "lane", "x", "ref", True).collect()) == [0.0, 24.0]
