@@ -228,10 +228,13 @@ def person(reg: Register, tokens: list[str], family_at: int, family: str, edits:
     """The best registered person for a mention whose token(s) at ``family_at`` read as ``family``."""
     rest = tokens[:family_at] + tokens[family_at + width :]
     particles = tuple(t for w in rest if (t := fold(w)) in PARTICLES)
-    given = [g for w in rest if fold(w) not in PARTICLES for g in _initials(w)]
+    names = [w for w in rest if fold(w) not in PARTICLES]
+    given, whole = [g for w in names for g in _initials(w)], [fold(w) for w in names]
     found = None
     for p in reg.by_family[family]:
         c = align(given, p)
+        if whole != given:  # 'IVO' may be a name in capitals
+            c = min(c, align(whole, p))
         if particles != p.particles:
             c += 0.2 if not particles or not p.particles else 9.0
         c += 0.35 * edits

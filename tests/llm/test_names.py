@@ -6,7 +6,7 @@ from marginalia.llm import names
 
 REG = [
     ("1", "Nadia T. Jeskuskamer", "person"), ("2", "Élodie Golvimbeska", "person"), ("3", "Abigail Golvimbeska", "person"), ("4", "Anthony Grauvoglibry", "person"), ("5", "José van der Yarmandoška", "person"),
-    ("6", "Kestermark Laboratory for Applied Perception", "org"), ("7", "Chidi Velundelio-Xilipondez", "person"), ("8", None, "person"), ("9", "Michael R. Uldovarlund", "person"),
+    ("6", "Kestermark Laboratory for Applied Perception", "org"), ("7", "Chidi Velundelio-Xilipondez", "person"), ("8", None, "person"), ("9", "Michael R. Uldovarlund", "person"), ("10", "Ivo A. Uldenzin", "person"),
 ]
 
 
@@ -19,7 +19,7 @@ def test_spellings(reg):
     cases = {
         "Nadia T. Jeskuskamer": "1", "JESKUSKAMER Nadia T.": "1", "Jeskuskamer, N.": "1", "NT Jeskuskamer": "1", "Nadia Jeskusakmer": "1", "Dr. Nadia Jeskuskamer, PhD": "1", "N​adia Jeskuskamеr": "1", "Golvimbeska, É.": "2",
         "E Golvimbeska": "2", "A. Golvimbeska": "3", "Tony Grauvoglibry": "4", "Anthony (Tony) Grauvoglibry": "4", "Grauvoglibry “Tony”": "4", "Yarmandoska, J.": "5", "José van der Yarmandoška": "5", "Kestermark Lab. of Applied Perception": "6",
-        "Laboratory for Applied Perception, Kestermark": "6", "The Kestermrak Laboratory for Applied Perception (KLAP)": "6", "Velundelio Xilipondez, C.": "7", "MR Uldovarlund": "9",
+        "Laboratory for Applied Perception, Kestermark": "6", "The Kestermrak Laboratory for Applied Perception (KLAP)": "6", "Velundelio Xilipondez, C.": "7", "MR Uldovarlund": "9", "IVO A. ULDENZIN": "10", "IA Uldenzin": "10",
     }
     for text, want in cases.items():
         assert names.mentions_of_name(reg, text) == [want], text
