@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from marginalia.session import spread
 
 #: A passage is so many words, the next begins STEP later; every run of RUN words lies whole in one.
-PASSAGE, STEP, RUN = 40, 20, 15
+PASSAGE, STEP, RUN = 40, 25, 15
 #: BM25, the postings of a block, and the share of an item's weakest run that a passage must score (an altered whole shows
 #: a passage of at least two runs, nine words in ten unaltered, so it scores more than that too).
 K1, B, BLOCK, SHARE = 1.2, 0.75, 32, 0.8
