@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,6 +116,27 @@ def test_reconcile(spark):
     assert rows(reconcile.text_matches(pages, man, "page", "text")) == [("p", "a", 1.1)]
 
 
+def test_text_matches_take_short_names(spark):
+    titles = ["Memory and attention networks", "Deep tangle of memory", "Signals without border control"]
+    man = [(f"{au}{yr}{k}", t, f"{au} Rest", yr) for au in ("de", "De", "o", "王", "li", "tang", "d.") for yr in ("2020", "202", "", None) for k, t in enumerate(titles)]
+    texts = ["Jan de Vries: memory and attention, networks of 12020", "Modern tangle of MEMORY, deep 1999", "王 signals, border control 2020", " " * 1600 + "Lima: attention memory 2020", "x" * 2999 + " de memory attention 2020", "", None]
+
+    def norm(s):
+        return re.sub(r"\s+", " ", re.sub(r"[^\w\s]", " ", s.lower())).strip()
+
+    want = set()
+    for i, text in enumerate(texts):
+        raw = (text or "")[:3000]
+        for slug, title, author, yr in man:
+            au, words = author.lower().split()[0], [w for w in norm(title).split() if len(w) >= 4 and w not in reconcile.STOP]
+            hits = sum(w in norm(raw) for w in words)
+            if au in norm(raw) and (yr or "") in raw and hits >= 2 and hits / len(words) >= 0.25:
+                want.add((i, slug, round(hits / len(words) + 0.1 * (norm(raw).find(au) < 1500), 6)))
+    got = reconcile.text_matches(spark.createDataFrame(list(enumerate(texts)), "page int, text string"), spark.createDataFrame(man, "slug string, title string, first_author string, year string"), "page", "text")
+    assert {s[:2] for _, s, _ in want} >= {"de", "De", "li"} and any(s[0] == "王" for _, s, _ in want)
+    assert rows(got) == sorted(want, key=repr)
+
+
 def test_references(spark):
     df = spark.createDataFrame([(1, "Zeidan, F. (2015). Does it work?", "l1"), (2, "Millière, R. (2018). T. V", "l2"), (3, " Miller, A. (2000). T. V. ", "l3"), (4, "Miller, A. (2000). T. V.", "l4"), (5, "", "l5"), (6, None, None)], "row_pos int, apa string, link string")
     got = references.reference_list(df).orderBy("sort_key", "first_pos").collect()
