@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm.confusables import consistent, skeleton
+from marginalia.llm.innocent import NEIGHBOURS
 from marginalia.session import spread
 
 # The lexicon. A word's weight is what one hit adds; a passage counts from THRESHOLD on.
@@ -72,7 +73,7 @@ ADDRESS = set("you your yours u ur yourself author authors whoever du dich dir d
 MENTION = set(
     """lexicon lexicons dictionary annotators annotated labelled labeled insult insults quoted phages phage genes gene backoff whelping prey infects pest""".split()
 )
-THRESHOLD, WIDE, MENTIONED = 1.0, 12, 7
+THRESHOLD, WIDE, MENTIONED, CLOSE = 1.0, 12, 7, 5
 _STRONG, _MILD, _ADDED = 1.0, 0.5, 0.5
 
 _LEET = str.maketrans({"1": "i", "0": "o", "3": "e", "4": "a", "5": "s", "7": "t", "$": "s", "@": "a", "!": "i", "€": "e"})
@@ -99,8 +100,10 @@ _ALL = set(STRONG) | set(MILD) | set(GROUPS) | set(DEGRADE) | _PHRASE_WORDS
 #: Insults long enough to be told from other words when misspelled.
 _FUZZY = {w for w in set(STRONG) | set(MILD) if len(w) >= 6} - {"thrust", "moaned", "retard", "retards", "garbage", "useless", "loser", "losers"}
 _TRIE = _trie(sorted(_FUZZY))
+#: The rest of the lexicon from four letters on: one edit may make another word of them, so they count misspelled only in context.
+_SHORT_TRIE = _trie(sorted(w for w in _ALL - _FUZZY if len(w) >= 4 and w.isalpha()))
 #: Real words within one edit of a lexicon word.
-INNOCENT = set("ranker banker hanker wander wanderer tanker winker canker custard mustard bustard pathetically prophetic motion worthlessness whored".split())
+INNOCENT = set("ranker banker hanker wander wanderer tanker winker canker custard mustard bustard pathetically prophetic motion worthlessness whored".split()) | NEIGHBOURS
 _KEYS = ("qwertyuiop", "asdfghjkl", "zxcvbnm")
 #: Letters typed for each other: neighbours on the keyboard, or both vowels.
 _SLIPS = {(a, b) for r in _KEYS for a, b in zip(r, r[1:])} | {(a, b) for r, q in zip(_KEYS, _KEYS[1:]) for i, a in enumerate(r) for b in q[max(0, i - 1) : i + 1]}
@@ -108,16 +111,22 @@ _SLIPS |= {(b, a) for a, b in _SLIPS} | {(a, b) for a in "aeiou" for b in "aeiou
 
 
 def automaton(word: str, limit: int = 1) -> str | None:
-    """The lexicon word within ``limit`` edits of ``word``: a Levenshtein automaton walks the trie, state sets of (position, edits).
+    """The long lexicon word within ``limit`` edits of ``word``."""
+    hits = _walk(word, _TRIE, limit)
+    return min(hits, key=hits.get) if hits else None
+
+
+def _walk(word: str, trie: dict, limit: int = 1) -> dict[str, int]:
+    """The words of ``trie`` within ``limit`` edits of ``word``: a Levenshtein automaton walks the trie, state sets of (position, edits).
 
     The first letter must stand; an insertion, a deletion, a swap of neighbours or a slip of the finger is an edit.
     """
-    node = _TRIE.get(word[:1])
+    node = trie.get(word[:1])
+    hits: dict[str, int] = {}
     if node is None or word in INNOCENT:
-        return None
+        return hits
     n = len(word)
     stack = [(node, {1: 0}, word[0])]
-    best: tuple[int, str] | None = None
     while stack:
         node, states, last = stack.pop()
         # a deletion in the lexicon word's favour: characters of ``word`` may be skipped
@@ -126,8 +135,8 @@ def automaton(word: str, limit: int = 1) -> str | None:
             for skip in range(1, limit - e + 1):
                 if i + skip <= n and reach.get(i + skip, limit + 1) > e + skip:
                     reach[i + skip] = e + skip
-        if "" in node and n in reach and (best is None or reach[n] < best[0]):
-            best = (reach[n], node[""])
+        if "" in node and n in reach:
+            hits[node[""]] = min(reach[n], hits.get(node[""], 9))
         for c, child in node.items():
             if not c:
                 continue
@@ -145,14 +154,11 @@ def automaton(word: str, limit: int = 1) -> str | None:
                                 stack.append((grand, {i + 2: e + 1}, c2))
             if nxt:
                 stack.append((child, nxt, c))
-    return best[1] if best else None
+    return hits
 
 
-@functools.lru_cache(maxsize=200_000)
-def canonical(token: str) -> str:
-    """A token's lexicon form if it is one in any spelling, else the token itself."""
-    if token in _ALL:
-        return token
+def _plain(token: str) -> str:
+    """A token without look-alikes and digits or signs that stand for letters; stars stay."""
     plain = token
     if not token.isascii():  # a word wholly of look-alikes
         plain = unicodedata.normalize("NFC", skeleton(token))
@@ -161,14 +167,27 @@ def canonical(token: str) -> str:
     if not plain.isalpha():
         plain = plain.translate(_LEET) if any(c.isalpha() for c in plain) else plain
         plain = "".join(c for c in plain.replace("#", "*") if c.isalpha() or c in "*'’")
-        if plain in _ALL:
-            return plain
-        if "*" in plain:
-            # starred-out letters: as many as there are stars, else any few
-            for r in (plain.replace("*", "."), re.sub(r"\*+", ".{1,4}", plain)):
-                for w in (*STRONG, *MILD):
-                    if len(w) >= 4 and re.fullmatch(r, w):
-                        return w
+    return plain
+
+
+def _starred(plain: str) -> tuple[str, str]:
+    return plain.replace("*", "."), re.sub(r"\*+", ".{1,4}", plain)
+
+
+@functools.lru_cache(maxsize=200_000)
+def canonical(token: str) -> str:
+    """A token's lexicon form if it is one in any spelling, else the token itself."""
+    if token in _ALL:
+        return token
+    plain = _plain(token)
+    if plain in _ALL:
+        return plain
+    if "*" in plain:
+        # starred-out letters: as many as there are stars, else any few; readings() has the rest of the lexicon
+        for r in _starred(plain):
+            for w in (*STRONG, *MILD):
+                if len(w) >= 4 and re.fullmatch(r, w):
+                    return w
     short = re.sub(r"(.)\1+", r"\1", plain)
     if short != plain and re.search(r"(.)\1\1", plain):
         for t in (re.sub(r"(.)\1{2,}", r"\1", plain), re.sub(r"(.)\1{2,}", r"\1\1", plain), short):
@@ -182,6 +201,48 @@ def canonical(token: str) -> str:
     return token
 
 
+_NONE: tuple[frozenset, frozenset] = (frozenset(), frozenset())
+
+
+@functools.lru_cache(maxsize=200_000)
+def readings(token: str) -> tuple[frozenset, frozenset]:
+    """Other lexicon words a token may be: those its stars leave open, and short ones that it misspells."""
+    if token in _ALL:
+        return _NONE
+    plain = _plain(token)
+    if "*" in plain:
+        if not plain[0].isalpha():
+            return _NONE
+        exact, loose = _starred(plain)
+        return frozenset(w for w in _ALL if len(w) >= 3 and re.fullmatch(exact, w)) or frozenset(w for w in _ALL if len(w) >= 4 and re.fullmatch(loose, w)), frozenset()
+    if 3 <= len(plain) <= 14 and plain.isalpha() and canonical(token) not in _ALL:
+        return frozenset(), frozenset(_walk(plain, _SHORT_TRIE))
+    return _NONE
+
+
+def _met(parts: list[tuple[bool, frozenset]], sure: list, near: list) -> bool:
+    """Whether a phrase stands in a sentence whose words have several readings; one of its words at most may be a short misspelled one."""
+    ends = None
+    for gap, words in parts:
+        now = set()
+        for i, w in enumerate(sure):
+            cost = 0 if not words.isdisjoint(w) else 1 if len(parts) > 1 and not words.isdisjoint(near[i]) else 2
+            if cost < 2:
+                before = {0} if ends is None else {c for j, c in ends if 0 < i - j <= 1 + GAP * gap}
+                now |= {(i, c + cost) for c in before if c + cost < 2}
+        ends = now
+    return bool(ends)
+
+
+def _parts(p: str) -> list[tuple[bool, frozenset]]:
+    out, gap = [], False
+    for part in p.split():
+        if part != "..":
+            out.append((gap, frozenset(part.split("|"))))
+        gap = part == ".."
+    return out
+
+
 def _compile(p: str) -> str:
     out, glue = "", ""
     for part in p.split():
@@ -194,13 +255,13 @@ def _compile(p: str) -> str:
     return rf"(?<!\S){out}(?!\S)"
 
 
-def _anchors() -> dict[str, list[tuple[str, re.Pattern]]]:
+def _anchors() -> dict[str, list[tuple[str, re.Pattern, list]]]:
     """Each phrase under the words of its most telling element, so that only sentences with one of them are searched."""
     out: dict[str, list] = {}
     for kind, phrases in PHRASES.items():
         for p in phrases:
             best = max((x.split("|") for x in p.split() if x != ".."), key=lambda ws: (min(map(len, ws)), -len(ws)))
-            entry = (kind, re.compile(_compile(p)))
+            entry = (kind, re.compile(_compile(p)), _parts(p))
             for w in best:
                 out.setdefault(w, []).append(entry)
     return out
@@ -231,7 +292,7 @@ def _closed(m: re.Match) -> str:
 
 
 def sentences(text: str) -> list[list[str]]:
-    """The sentences of a normal text as canonical tokens; a blank line or end mark closes one. A mark after a word or two doesn't."""
+    """The sentences of a normal text as tokens; a blank line or end mark closes one. A mark after a word or two doesn't."""
     out, now, blank = [], [], False
     for t in _TOKEN.findall(text):
         if t == "\n":
@@ -246,7 +307,7 @@ def sentences(text: str) -> list[list[str]]:
                 out.append(now)
                 now = []
         else:
-            now.append(canonical(t))
+            now.append(t)
     if now:
         out.append(now)
     return out
@@ -262,7 +323,7 @@ def passage(tokens: list[str]) -> tuple[float, str]:
     mild = [i for i, t in enumerate(tokens) if t in _MILD_SET]
     group = [i for i, t in enumerate(tokens) if t in _GROUP_SET]
     line = " ".join(tokens)
-    for k, r in dict.fromkeys(e for t in tokens if t in _ANCHORS for e in _ANCHORS[t]):
+    for k, r, _ in {id(e): e for t in tokens if t in _ANCHORS for e in _ANCHORS[t]}.values():
         if r.search(line):
             score += _STRONG
             kind = kind or k
@@ -281,6 +342,35 @@ def passage(tokens: list[str]) -> tuple[float, str]:
     return score, kind
 
 
+def doubtful(tokens: list[str], others: list[tuple[frozenset, frozenset]]) -> tuple[float, str]:
+    """(score, kind) of a sentence in which words have other readings (see readings()), the worst of them taken.
+
+    A starred word counts as what it may stand for. A short misspelled one counts as an insult only with somebody addressed
+    within CLOSE words or another hit in the sentence, with a group only if the other word is written in full, and once in a phrase.
+    """
+    score, kind = passage(tokens)
+    plain = score > 0
+    sure = [{t} | s for t, (s, _) in zip(tokens, others)]
+    near = [n for _, n in others]
+    line = " ".join(tokens)
+    for k, r, parts in {id(e): e for s, n in zip(sure, near) for t in s | n if t in _ANCHORS for e in _ANCHORS[t]}.values():
+        if not r.search(line) and _met(parts, sure, near):
+            score += _STRONG
+            kind = kind or k
+    for i, t in enumerate(tokens):
+        read, width = (sure[i] - {t}, WIDE) if others[i][0] else (near[i], CLOSE)
+        if not read or any(x in MENTION for x in tokens[max(0, i - MENTIONED) : i + MENTIONED + 1]):
+            continue
+        around = [x for j in range(max(0, i - WIDE), min(len(tokens), i + WIDE + 1)) if j != i for x in (sure[j] if others[i][0] else {tokens[j]})]
+        addressed = any(x in ADDRESS for x in tokens[max(0, i - width) : i + width + 1])
+        if t not in _STRONG_SET and t not in _MILD_SET and (others[i][0] or addressed or plain):
+            w = _STRONG if read & _STRONG_SET else (_MILD + (_ADDED if addressed else 0.0)) if read & _MILD_SET else 0.0
+            score, kind = score + w, kind or ("abuse" if w else "")
+        if t not in _GROUP_SET and (read & _GROUP_SET and not _DEGRADE_SET.isdisjoint(around) or t not in _DEGRADE_SET and read & _DEGRADE_SET and not _GROUP_SET.isdisjoint(around)):
+            score, kind = score + _MILD + _ADDED, "hate"
+    return score, kind
+
+
 _STRONG_SET, _MILD_SET, _GROUP_SET, _DEGRADE_SET = map(frozenset, (STRONG, MILD, GROUPS, DEGRADE))
 
 
@@ -288,10 +378,15 @@ def judge(text: str) -> tuple[float, str, str]:
     """(score, kind, passage) of the worst passage of a text; score 0 and empty strings if there is none."""
     best = (0.0, "", "")
     flat = normal(text)
-    for tokens in sentences(flat):
-        if _WORTH.isdisjoint(tokens):
+    for words in sentences(flat):
+        tokens = [canonical(t) for t in words]
+        others = [readings(t) for t in words]
+        if any(o is not _NONE and (o[0] or o[1]) for o in others):
+            score, kind = doubtful(tokens, others)
+        elif _WORTH.isdisjoint(tokens):
             continue
-        score, kind = passage(tokens)
+        else:
+            score, kind = passage(tokens)
         if score > best[0]:
             best = (score, kind, " ".join(tokens)[:500])
     if best[0] < THRESHOLD and _WIDE_SCRIPT.search(flat) and (m := _CJK.search(flat)):

@@ -37,6 +37,26 @@ def test_automaton_is_one_edit():
         assert abuse.automaton("x" + w[1:]) is None and abuse.automaton(w[:2] + "qqq" + w[4:]) is None
 
 
+HIDDEN = [
+    "They deserve to have their s***l broken for this.", "K**l yourself.", "Kil yourself, the field would be better.", "fukc you and the paper", "You are a complete mroon and we all know it.", "you are an idoit",
+    "Go to hlel, all of you people here.", "W**te of sp*ce, nobody will cry", "The Ostrokin are all v****n here.", "The Velmari are all a plauge, I say", "No wonder, half the team are Ostr*kin, that vermin.",
+]
+PLAIN = [
+    "You shut the door of the count and you shot a duck.", "We fund you next year, and your colon was clear.", "You may fine tune your moon model; you shift it.", "The fit of y = a*b*c to your data is good.", "Your maroon shirt and the laser are ready for you.",
+    "Women in the breeds trial and jaws of men were clear.", "You can step in front of the terrain map.",
+]
+
+
+@pytest.mark.parametrize("text", HIDDEN)
+def test_starred_or_misspelled_words_of_the_whole_lexicon(text):
+    assert abuse.judge(f"The weather data were fine. {text} We thank the reviewers.")[0] >= abuse.THRESHOLD
+
+
+@pytest.mark.parametrize("text", PLAIN)
+def test_real_words_next_to_the_lexicon(text):
+    assert abuse.judge(f"The weather data were fine. {text} We thank the reviewers.")[0] < abuse.THRESHOLD
+
+
 def test_rows_and_rates(spark):
     df = spark.createDataFrame([(1, "You idiot, you moron.", "a", 1), (2, None, "a", 1), (3, "", None, 1), (4, "fine", "b", 1), (1, "You idiot, you moron.", "a", 1)], "doc_id bigint, text string, source string, score int")
     s = abuse.abuse_scores(df)
