@@ -365,7 +365,7 @@ def canonical_source(s, d):
 
 
 def html_text(s, d):
-    docs = table(s, d, "documents").where("source like 'html%' and text is not null")
+    docs = table(s, d, "documents").where("text is not null")
     return docs.select("doc_id", F.trim(F.regexp_replace(unescape(F.regexp_replace("text", r"<[^<>]+>", " ")), r"[ \t\r\n]+", " ")).alias("text"))
 
 

@@ -37,3 +37,12 @@ def test_core_queries(spark):
     assert set(sql) <= set(known)
     wrong = [n for n, f in known.items() if (not same(f(spark, DATA), con, sql[n]) if n in sql else f(spark, DATA).count() < 0)]
     assert wrong == []
+
+
+def test_html_text_takes_every_source(spark, tmp_path):
+    from marginalia.plans.queries import queries
+
+    docs = [(1, "html-a", "<p>One &amp; two</p>"), (2, "pdf", "<b>bold</b> text"), (3, None, "a &lt; b"), (4, "pdf", None), (5, "txt", "plain  text")]
+    spark.createDataFrame(docs, "doc_id bigint, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["text"] for r in queries()["html_text"](spark, str(tmp_path)).collect()}
+    assert got == {1: "One & two", 2: "bold text", 3: "a < b", 5: "plain text"}
