@@ -273,14 +273,14 @@ def rows_to_papers(s, d):
 
 
 def _sources(s, d):
-    """Snapshots of two services, drawn from the other tables: some lookups fail, some hits disagree."""
+    """Snapshots of three services, drawn from the other tables: every key was looked up; some are misses, some lookups fail, some hits disagree."""
     rows = ranking.first_by_key(_rows(s, d).withColumn("id", D.norm_doi(F.col("doi"))).where("id is not null"), "id")
-    crossref = rows.where("row_pos % 7 <> 0").select(
-        "id", F.when(F.col("row_pos") % 11 == 0, "transient").otherwise("hit").alias("status"), A.lead_surname(F.col("apa")).alias("first_author"),
+    crossref = rows.select(
+        "id", F.when(F.col("row_pos") % 7 == 0, "miss").when(F.col("row_pos") % 11 == 0, "transient").otherwise("hit").alias("status"), A.lead_surname(F.col("apa")).alias("first_author"),
         (F.col("year") + F.when(F.col("row_pos") % 5 == 0, 3).otherwise(0)).cast("string").alias("year"),
     )
-    arxiv = ranking.first_by_key(_rows(s, d).where("arxiv <> ''"), "arxiv").where("row_pos % 3 <> 0").select(
-        F.col("arxiv").alias("id"), F.lit("hit").alias("status"), F.coalesce("label", F.lit("")).alias("first_author"), F.col("year").cast("string").alias("year")
+    arxiv = ranking.first_by_key(_rows(s, d).where("arxiv <> ''"), "arxiv").select(
+        F.col("arxiv").alias("id"), F.when(F.col("row_pos") % 3 == 0, "miss").otherwise("hit").alias("status"), F.coalesce("label", F.lit("")).alias("first_author"), F.col("year").cast("string").alias("year")
     )
     title = ranking.first_by_key(_lab(s, d).where("title <> ''"), "title").select(
         F.col("title").alias("id"), F.lit("hit").alias("status"), F.lit(None).cast("string").alias("first_author"), F.col("year").cast("string").alias("year")

@@ -46,3 +46,14 @@ def test_html_text_takes_every_source(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id bigint, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["doc_id"]: r["text"] for r in queries()["html_text"](spark, str(tmp_path)).collect()}
     assert got == {1: "One & two", 2: "bold text", 3: "a < b", 5: "plain text"}
+
+
+def test_lookup_snapshots_hold_every_key(spark):
+    from marginalia.functions.doi import norm_doi
+    from marginalia.plans.queries import _rows, _sources
+
+    arxiv, crossref, _ = _sources(spark, DATA)
+    rows = _rows(spark, DATA)
+    assert arxiv.count() == rows.where("arxiv <> ''").select("arxiv").distinct().count()
+    assert crossref.count() == rows.select(norm_doi(rows["doi"]).alias("d")).where("d is not null").distinct().count()
+    assert {r["status"] for r in arxiv.select("status").union(crossref.select("status")).distinct().collect()} == {"hit", "miss", "transient"}
