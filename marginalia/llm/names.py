@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import itertools
 import re
 import unicodedata
 from dataclasses import dataclass, field
@@ -213,15 +212,20 @@ def align(given: list[str], p: Person) -> float:
     want = p.given
     if not want:
         return 9.0
-    best = 9.0
-    for order in itertools.permutations(given) if 1 < len(given) <= 3 else [tuple(given)]:
-        moved = 0.0 if order == tuple(given) else 0.25
-        c = _given_cost(order[0], want[0])
-        for a, b in zip(order[1:], want[1:]):
-            c += _given_cost(a, b)
-        c += 0.5 * max(0, len(order) - len(want)) + 0.05 * max(0, len(want) - len(order)) + moved
-        best = min(best, c)
-    return best
+    spare = 0.5 * max(0, len(given) - len(want)) + 0.05 * max(0, len(want) - len(given))
+    best = sum(_given_cost(a, b) for a, b in zip(given, want)) + spare
+    if len(given) == 1 or spare + 0.25 >= min(best, LIMIT):
+        return min(best, 9.0)
+    # any other order: the least cost of each set of tokens that may have met the names so far
+    costs = {0: spare + 0.25}
+    for r in want[: len(given)]:
+        now: dict[int, float] = {}
+        for used, c in costs.items():
+            for i, m in enumerate(given):
+                if not used >> i & 1 and (d := c + _given_cost(m, r)) < min(best, LIMIT, now.get(used | 1 << i, 9.0)):
+                    now[used | 1 << i] = d
+        costs = now
+    return min([best, 9.0, *costs.values()])
 
 
 def person(reg: Register, tokens: list[str], family_at: int, family: str, edits: int, width: int = 1) -> tuple[float, str] | None:
@@ -296,19 +300,20 @@ def read_org(reg: Register, text: str) -> str | None:
     if not kinds:
         return None
     for author_id, words in (reg.orgs[n] for n in sorted({n for t in toks for n in reg.placed(t)})):
-        left, c = list(enumerate(toks)), 0.0
+        costs = {0: 0.0}  # the least cost of each set of tokens that may have met the words so far
         for w in words:
-            pick = None
-            for i, t in left:
+            now: dict[int, float] = {}
+            for i, t in enumerate(toks):
                 d = 0 if t == w or w in ORG_KINDS and kinds.get(i) == w else distance(t, w) if len(w) >= ONE_EDIT and t[0] in (w[0], w[1]) or t[1:2] == w[:1] else 3
-                if d <= 2 and len(t) > 2 and (pick is None or d < pick[0]):
-                    pick = (d, i)
-            if pick is None:
+                if d <= 2 and len(t) > 2:
+                    for used, c in costs.items():
+                        if not used >> i & 1 and c + d <= 2 and c + d < now.get(used | 1 << i, 9.0):
+                            now[used | 1 << i] = c + d
+            costs = now
+            if not costs:
                 break
-            c += pick[0]
-            left = [x for x in left if x[0] != pick[1]]
         else:
-            c += len(left)
+            c = min(costs.values()) + len(toks) - len(words)
             if c <= 2 and (best is None or c < best[0]):
                 best = (c, author_id)
     return best and best[1]

@@ -62,3 +62,29 @@ def test_rows(spark):
     assert names.link_references(df.limit(0), "row_pos", "name", r).count() == 0
     with pytest.raises(ValueError):
         names.register(spark.createDataFrame(REG, "author_id string, display_name string, kind string"), 3)
+
+
+def test_assignment_is_the_best_of_all_orders():
+    import itertools
+
+    random.seed(4)
+    pool = ["anna", "ana", "a", "maria", "mario", "m", "teresa", "t", "luisa", "jo"]
+    met = 0
+    for _ in range(1500):
+        want = random.sample(pool, random.randint(1, 5))
+        given = random.sample(want, len(want)) if random.random() < 0.6 else random.sample(pool, random.randint(1, 5))
+        p = names.Person("1", want, (), "x")
+        costs = [
+            sum(map(names._given_cost, o, want)) + 0.5 * max(0, len(o) - len(want)) + 0.05 * max(0, len(want) - len(o)) + 0.25 * (list(o) != given)
+            for o in itertools.permutations(given)
+        ]
+        best, got = min(costs), names.align(given, p)
+        assert abs(got - best) < 1e-9 if best < names.LIMIT else got >= names.LIMIT
+        met += best < names.LIMIT and len(given) > 3 and given != want
+    assert met > 50
+
+
+def test_long_names_in_any_order_and_organisations_word_by_word():
+    reg = names.build([("1", "Anna Maria Teresa Luisa Jeskuskamer", "person"), ("2", "Marins Marine Institute", "org")])
+    assert names.read_person(reg, "Luisa Teresa Anna Maria Jeskuskamer")[1] == "1"
+    assert names.read_org(reg, "Marine Marxns Institute") == "2"
