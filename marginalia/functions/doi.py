@@ -12,8 +12,9 @@ DOI_TAIL = r"[.,;)\s]+$"
 
 def norm_doi(c: Column) -> Column:
     """The comparable form of a written DOI: trimmed, lower case, no resolver prefix, no trailing ``.,;)``; '' becomes NULL."""
-    bare = F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), DOI_PREFIX, ""), DOI_TAIL, "")
-    return F.nullif(F.trim(bare), F.lit(""))
+    bare = F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), DOI_PREFIX, ""), DOI_TAIL, ""))
+    # NULLIF would write the patterns out twice, and again for every use of the result
+    return F.get(F.filter(F.array(bare), lambda x: x != ""), F.lit(0))
 
 _RESOLVER = r"(?i)^https?://doi\.(?:org|example)/"
 

@@ -1,4 +1,4 @@
-"""Session helpers: table access, lineage cuts and size-checked broadcasts."""
+"""Session helpers: table access, spreading of expensive work and lineage cuts."""
 
 from __future__ import annotations
 
@@ -9,7 +9,6 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: The application that this process has shipped the package to.
 _shipped: set[str] = set()
@@ -36,22 +35,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` in at least two partitions a core, for expensive Python work; data in enough files is left where it lies.
+    """``df`` in at least one partition a core, for expensive Python work; input planned in enough partitions is left where it lies.
 
-    A file is counted as one partition: its row groups can't be known to be several.
+    Counts the partitions that the scan is planned in, so large files that split by row groups are not moved. For scans
+    and what is computed from them row by row.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= 2 * cores else df.repartition(2 * cores)
+    return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores else df.repartition(2 * cores)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where that is unset.
+    """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one of our own where that is unset on a single machine.
 
-    Only a session without the setting (tests, one machine) gets a temporary folder.
+    On a cluster without the setting this raises: a folder of one machine would lose data with it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     own = spark.conf.get("marginalia.checkpoint.dir", None)
     if own is None:
         own = os.path.join(tempfile.gettempdir(), f"marginalia-{uuid.uuid4().hex}")
@@ -60,14 +62,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut by a reliable checkpoint in the shared folder."""
+    """``df`` written to the shared folder and read again: the lineage ends there, and sizes are known from then on."""
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(spark).rstrip('/')}/cut-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
 
 
-def small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``max_rows`` rows; else unmarked, so the join shuffles."""
-    return F.broadcast(df) if len(df.head(max_rows + 1)) <= max_rows else df
+def discard(df: DataFrame) -> None:
+    """Delete what :func:`cut` wrote for ``df``, once nothing reads it any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._cut_path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
