@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from marginalia.functions.apa import HEAD, parse_apa
+from marginalia.functions.apa import parse_apa
 from marginalia.functions.names import suspect_surnames
-from marginalia.functions.text import MARKUP, WS, ascii_hyphens
+from marginalia.functions.text import MARKUP, WS, ascii_hyphens, once
 
 _DOUBLE = r"[?!]\."
 
@@ -28,12 +28,12 @@ def caps_run(title: Column) -> Column:
 
 def defects(apa: Column, has_source: Column) -> Column:
     """The names of all defects of a reference; a NULL reference is an empty one."""
-    apa = F.coalesce(apa, F.lit(""))
-    p = parse_apa(apa)
-    tail = F.regexp_replace(F.coalesce(p["rest"], F.lit("")), r"^[ .]+|[ .]+$", "")
-    run = caps_run(F.coalesce(p["title"], F.lit("")))
+    return once(F.coalesce(apa, F.lit("")), lambda a: once(parse_apa(a), lambda p: _defects(a, p, has_source)))
+
+
+def _defects(apa: Column, p: Column, has_source: Column) -> Column:
     checks = [
-        (~apa.rlike(HEAD), F.lit("no-year")),
+        (p.isNull(), F.lit("no-year")),
         (apa.startswith("Anon.") | (p["authors"] == ""), F.lit("no-authors")),
         (apa.contains(" et al"), F.lit("et-al")),
         (apa.rlike("&amp;|&#x|&lt;|&gt;"), F.lit("html-entity")),
@@ -43,15 +43,16 @@ def defects(apa: Column, has_source: Column) -> Column:
         (apa.rlike(r"\(\.|\[\."), F.lit("malformed-initial")),
         (apa.contains("�"), F.lit("replacement-char")),
         (apa.rlike(rf"\.{WS}+[A-Z]\.{WS}*\z"), F.lit("single-letter-venue")),
-        (run >= 3, F.lit("uppercase-run")),
-        (has_source & (tail == ""), F.lit("empty-venue")),
+        (caps_run(F.coalesce(p["title"], F.lit(""))) >= 3, F.lit("uppercase-run")),
+        (has_source & (F.translate(F.coalesce(p["rest"], F.lit("")), " .", "") == ""), F.lit("empty-venue")),
     ]
     return F.array_compact(F.array(*[F.when(c, name) for c, name in checks]))
 
 
 def notes(apa: Column, has_source: Column) -> Column:
     """What a person should look at though it is no defect: no source, surnames of several words."""
-    names = F.transform(suspect_surnames(F.coalesce(parse_apa(apa)["authors"], F.lit(""))), lambda x: F.concat(F.lit("multi-word surname: "), x))
+    authors = once(parse_apa(apa), lambda p: F.coalesce(p["authors"], F.lit("")))
+    names = F.transform(suspect_surnames(authors), lambda x: F.concat(F.lit("multi-word surname: "), x))
     return F.concat(F.array_compact(F.array(F.when(~has_source, F.lit("no-source")))), names)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from marginalia.functions.text import WS, is_lower, is_upper
+from marginalia.functions.text import WS, is_lower, is_upper, once
 
 # Particles that belong to the family name.
 PARTICLES = ["van", "von", "der", "den", "de", "del", "della", "di", "da", "du", "la", "le", "el", "al", "bin", "ibn", "dos", "das", "ten", "ter", "st"]
@@ -22,12 +22,7 @@ def _particle(t: Column) -> Column:
 
 def split_name(display: Column) -> Column:
     """struct(family, given): the last word and the particles before it, never the first word, are the family name."""
-    return _step(tokens(display), _split)
-
-
-def _step(c: Column, f) -> Column:
-    """``f`` of a value that is computed once, however often ``f`` uses it."""
-    return F.element_at(F.transform(F.array(c), f), 1)
+    return once(tokens(display), _split)
 
 
 def _split(toks: Column) -> Column:
@@ -36,7 +31,7 @@ def _split(toks: Column) -> Column:
     # the first of the words before the last, read backwards, that is no particle ends the run
     run = F.array_position(F.transform(middle, lambda t: _particle(t)), F.lit(False)) - 1
     own = F.when(run < 0, F.size(middle)).otherwise(run).cast("int") + 1
-    cut = _step(own, lambda k: F.struct(F.array_join(F.slice(toks, n - k + 1, k), " ").alias("family"), F.array_join(F.slice(toks, F.lit(1), n - k), " ").alias("given")))
+    cut = once(own, lambda k: F.struct(F.array_join(F.slice(toks, n - k + 1, k), " ").alias("family"), F.array_join(F.slice(toks, F.lit(1), n - k), " ").alias("given")))
     return F.when(n > 0, cut).otherwise(F.struct(F.lit("").alias("family"), F.lit("").alias("given")))
 
 
@@ -50,7 +45,7 @@ def initials(given: Column) -> Column:
 def fix_family(family: Column) -> Column:
     """Without parentheses; all-capital names and single lower-case words get a capital first letter."""
     bare = F.trim(F.regexp_replace(family, rf"{WS}*\([^)]*\){WS}*", " "))
-    return _step(bare, lambda x: F.when(is_upper(x) | (is_lower(x) & ~x.contains(" ")), F.initcap(x)).otherwise(x))
+    return once(bare, lambda x: F.when(is_upper(x) | (is_lower(x) & ~x.contains(" ")), F.initcap(x)).otherwise(x))
 
 
 def person(family: Column, given: Column) -> Column:
@@ -63,7 +58,7 @@ def person(family: Column, given: Column) -> Column:
         g = F.trim(F.concat_ws(" ", x["g"], F.trim(moved)))
         return F.trim(F.regexp_replace(F.concat(fix_family(f), F.lit(", "), initials(g)), r"[, ]+$", ""))
 
-    return _step(F.struct(F.trim(family).alias("f"), F.coalesce(given, F.lit("")).alias("g")), whole)
+    return once(F.struct(F.trim(family).alias("f"), F.coalesce(given, F.lit("")).alias("g")), whole)
 
 
 def join_authors(people: Column) -> Column:

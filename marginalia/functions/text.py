@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -12,11 +13,16 @@ from pyspark.sql import types as T
 
 #: White space in the Unicode sense, as a character class that Java and RE2 read alike.
 WS = r"[\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-#: A tag of HTML or JATS.
+#: Fixed value: a tag of HTML or JATS.
 MARKUP = r"</?[A-Za-z][A-Za-z0-9:._-]*(?:[\t-\r ][^>]*)?/?>"
 WIDE_DIGITS = "０１２３４５６７８９"
 
 
+def once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it."""
+    return F.element_at(F.transform(F.array(c), f), 1)
+
+
 def blank_to_null(c: Column) -> Column:
     """Trimmed text, NULL if nothing is left."""
     return F.nullif(F.trim(c), F.lit(""))

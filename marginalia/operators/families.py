@@ -34,6 +34,14 @@ def violations(rows: DataFrame, assigned: DataFrame, families: DataFrame, least:
     return out
 
 
+def gate(violated: DataFrame) -> None:
+    """Raise at the first violated rule, in order, naming a few of its items."""
+    first = violated.agg(F.min("step")).head()[0]
+    if first is not None:
+        bad = violated.where(F.col("step") == first).orderBy("item").head(20)
+        raise ValueError(f"{bad[0]['gate']}: {[r['item'] for r in bad]}")
+
+
 def balance(rows: DataFrame, family: Column, families: DataFrame | None = None) -> DataFrame:
     """Rows and share of every family, with a warning for empty, single and dominant (over 60 %) ones."""
     counted = rows.groupBy(family.alias("family")).agg(F.count(F.lit(1)).alias("n"))

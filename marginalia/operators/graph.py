@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marginalia.operators.ranking import ranked
+
 
 def citation_frequency(edges: DataFrame, citing: str = "citing", cited: str = "cited", pos: str = "pos") -> DataFrame:
     """Per cited work: number and ordered list of citing papers, first position. A work counts once per citing paper, blanks not at all."""
@@ -25,8 +27,7 @@ def citation_counts(edges: DataFrame, citing: str = "citing", cited: str = "cite
 def ranked_candidates(counts: DataFrame, exclude: DataFrame, cited: str, min_cites: int = 3) -> DataFrame:
     """Works cited by at least ``min_cites`` papers and not excluded, with their rank (ties in order of first appearance)."""
     left = counts.where(F.col("n_citations") >= min_cites).join(exclude, cited, "left_anti")
-    # the ranks are global: sort by range, count each partition's rows, add up the counts before it
-    return left.orderBy(F.col("n_citations").desc(), "first_pos")
+    return ranked(left, "rank", F.col("n_citations").desc(), F.col("first_pos"))
 
 
 def indegree(corpus: DataFrame, edges: DataFrame, key: str = "key", citing: str = "citing", cited: str = "cited") -> DataFrame:

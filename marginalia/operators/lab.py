@@ -20,14 +20,15 @@ def people(names: Column) -> Column:
 
 
 def paper_rows(works: DataFrame) -> DataFrame:
-    """Each work once (the first row of it) as a paper row: bare DOI, link, title, primary topic, reference."""
+    """Each work once (the first row of it) as a paper row: bare DOI, link, title, primary topic, reference (with volume, issue and pages where the works have them)."""
     w = first_by_key(works, "openalex")
     doi = doi_of(F.col("doi"), F.col("link"), lower=True)
     title = F.coalesce(F.nullif(F.trim("title"), F.lit("")), F.lit("(untitled)"))
+    numbers = [F.col(c) if c in w.columns else F.lit(None).cast("string") for c in ("volume", "issue", "pages")]
     return w.select(
         "row_pos", "openalex", doi.alias("doi"), F.coalesce(F.nullif("link", F.lit("")), F.col("openalex")).alias("link"), title.alias("title"), "year",
         F.coalesce(F.get("topics", F.lit(0)), F.lit("")).alias("topic"),
-        build_apa(people(F.col("coauthors")), F.col("year"), title, F.col("venue"), F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("string")).alias("apa"),
+        build_apa(people(F.col("coauthors")), F.col("year"), title, F.col("venue"), *numbers).alias("apa"),
         F.coalesce(F.nullif("summary", F.lit("")), title).alias("summary"), "cite_openalex",
     )
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marginalia.session import cut
+
 
 def cites(openalex: str = "cite_openalex", s2: str = "cite_s2") -> Column:
     """The higher of two counts, -1 without any."""
@@ -84,12 +86,20 @@ def warped_axis(years: DataFrame, value: str, warp: float, min_year: int | None
     return cdf.join(F.broadcast(at_lo)).select(value, (F.lit(1 - w) * lin + F.lit(w) * (at - F.col("c_lo")) / span_c).alias("x"))
 
 
-def numbered(df: DataFrame, label: str, *order: Column | str, prefix: str = "L") -> DataFrame:
-    """Sequential labels L1, L2, … in a global order, without one task sorting all: ranges are sorted apart and their sizes added up."""
+def ranked(df: DataFrame, rank: str, *order: Column | str) -> DataFrame:
+    """``df`` with its 1-based place in a global order, without one task sorting all.
+
+    The rows are laid out in sorted ranges once and written; places within a range and the sizes of the ranges before it both come from
+    what was written, so they fit each other however the range bounds were sampled.
+    """
     parts = df.sparkSession.sparkContext.defaultParallelism
-    tagged = df.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id())
-    w = Window.partitionBy("_p").orderBy(*order)
-    local = tagged.withColumn("_n", F.row_number().over(w))
-    sizes = tagged.groupBy("_p").agg(F.count(F.lit(1)).alias("_size"))
-    before = sizes.select("_p", (F.coalesce(F.sum("_size").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("_before"))
-    return local.join(F.broadcast(before), "_p").withColumn(label, F.concat(F.lit(prefix), (F.col("_n") + F.col("_before")).cast("string"))).drop("_p", "_n", "_before")
+    laid = cut(df.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id()))
+    local = laid.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
+    sizes = laid.groupBy("_p").agg(F.count(F.lit(1)).alias("_size"))  # one row per range
+    before = sizes.select("_p", F.coalesce(F.sum("_size").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return local.join(F.broadcast(before), "_p").withColumn(rank, F.col("_n") + F.col("_before")).drop("_p", "_n", "_before")
+
+
+def numbered(df: DataFrame, label: str, *order: Column | str, prefix: str = "L") -> DataFrame:
+    """Sequential labels L1, L2, … in a global order."""
+    return ranked(df, label, *order).withColumn(label, F.concat(F.lit(prefix), F.col(label).cast("string")))

@@ -26,11 +26,17 @@ def has_source() -> Column:
 
 
 def findings(rows: DataFrame, pos: str = "row_pos") -> DataFrame:
-    """(row, level, finding): every defect and note of every reference."""
-    d = audit.defects(F.col("apa"), has_source())
-    return rows.select(F.col(pos), F.explode(d).alias("finding")).select(pos, F.lit("defect").alias("level"), "finding").union(
-        rows.select(F.col(pos), F.explode(audit.notes(F.col("apa"), has_source())).alias("finding")).select(pos, F.lit("note"), "finding")
-    )
+    """(row, level, finding): every defect and note of every reference, from one pass over the rows."""
+    level = lambda name, found: F.transform(found, lambda x: F.struct(F.lit(name).alias("level"), x.alias("finding")))
+    both = F.concat(level("defect", audit.defects(F.col("apa"), has_source())), level("note", audit.notes(F.col("apa"), has_source())))
+    return rows.select(F.col(pos), F.explode(both).alias("f")).select(pos, "f.level", "f.finding")
+
+
+def gate(found: DataFrame) -> None:
+    """Raise if any reference has a defect, naming a few; notes pass."""
+    bad = [tuple(r) for r in found.where("level = 'defect'").select(found.columns[0], "finding").orderBy(found.columns[0], "finding").head(20)]
+    if bad:
+        raise ValueError(f"defective references: {bad}")
 
 
 def summary(rows: DataFrame) -> DataFrame:

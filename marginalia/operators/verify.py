@@ -11,8 +11,9 @@ from marginalia.functions.doi import doi_of
 
 def rows_to_citations(rows: DataFrame, key: str = "ref") -> DataFrame:
     """What a row's reference leads to expect: label, doi, arxiv, title, first author and year."""
-    p = parse_apa(F.coalesce("apa", F.lit("")))
-    return rows.select(
+    p = F.col("_p")
+    # a column of its own, so that the text is parsed once for all that is read from it
+    return rows.withColumn("_p", parse_apa(F.coalesce("apa", F.lit("")))).select(
         "row_pos", F.coalesce(key, F.lit("?")).alias("label"), doi_of(F.col("doi"), F.col("link")).alias("doi"), F.col("arxiv"),
         F.coalesce(p["title"], F.lit("")).alias("title"), lead_surname(F.col("apa")).alias("expect_first_author"), F.coalesce(p["year"].cast("string"), F.lit("")).alias("expect_year"),
     )

@@ -77,6 +77,20 @@ findings as (
   union all select row_pos, 'single-letter-venue' from d where regexp_matches(apa, '\.{_WS}+[A-Z]\.{_WS}*$')
   union all select row_pos, 'uppercase-run' from d where run >= 3
   union all select row_pos, 'empty-venue' from d where src and regexp_replace(rest, '^[ .]+|[ .]+$', '', 'g') = '')"""
+_SUSPECTS = rf"""x as (select row_pos, trim(regexp_replace(unnest(regexp_extract_all(authors, '(?:^|,[\t-\r ]|…[\t-\r ])([^,]+?),[\t-\r ]+(?:[A-ZÀ-Ý]\.)', 1)), '^[&…][\t-\r ]*', '')) as surname from p where ok and apa is not null),
+sn as (select distinct row_pos, surname, list_filter(string_split_regex(surname, '{_WS}+'), lambda w: w <> '') as ws from x),
+suspects as (select row_pos, surname from sn where len(ws) > 1 and len(list_filter(ws, lambda w: regexp_matches(lower(w), '^\.*({_PARTS})\.*$'))) = 0)"""
+_AUDIT = f"""{_DEFECTS}, {_SUSPECTS},
+notes as (select row_pos, 'no-source' as finding from d where not src union all select row_pos, concat('multi-word surname: ', surname) from suspects),
+found as (select row_pos, 'defect' as level, finding from findings union all select row_pos, 'note', finding from notes)"""
+_REPAIRED = rf"""
+a as (select row_pos, apa, regexp_replace(apa, '{_MARKUP}', '', 'g') as a from paper_rows where apa is not null),
+b as (select *, replace(replace(a, '‐', '-'), '‑', '-') as b from a),
+f as (select *, trim(regexp_replace(regexp_replace(b, '([?!])\.({_WS}|$)', '\1\2', 'g'), '{_WS}{{2,}}', ' ', 'g')) as f,
+  array_to_string(list_filter([case when regexp_matches(apa, '{_MARKUP}') then 'markup' end, case when regexp_matches(a, '[‐‑]') then 'hyphen' end, case when regexp_matches(b, '[?!]\.') then 'terminal' end], lambda x: x is not null), ',') as changes from b)"""
+_AUTHOR_LIST = """a as (select row_pos, list_filter(coalesce(coauthors, []), lambda x: x is not null and x <> '' and x <> ',') as p from lab_papers),
+authors as (select row_pos, case when len(p) = 0 then 'Anon.' when len(p) = 1 then p[1] when len(p) <= 20 then concat(array_to_string(p[1:len(p)-1], ', '), ', & ', p[len(p)])
+  else concat(array_to_string(p[1:19], ', '), ', … ', p[len(p)]) end as authors from a)"""
 _BESTCOUNT = 'best as (select key, max(openalex) as openalex, max(s2) as s2, max(s2_influential) as s2_influential, max("asof") as "asof" from citation_counts where key is not null group by 1)'
 _CITATIONS = f"""{_PARSED},
 c as (select r.row_pos, coalesce(r.ref, '?') as label, {_DOI_OF.replace('doi)', 'r.doi)').replace('link', 'r.link')} as doi, r.arxiv as arxiv, coalesce(p.title, '') as title,
@@ -104,18 +118,26 @@ with m as (select ref as slug, string_split_regex(lower({_LEAD}), '\s+')[1] as a
    list_filter(string_split({_NTEXT.format("coalesce(title, '')")}, ' '), lambda w: length(w) >= 4 and not list_contains(['the','and','for','with','from','into','that','this','their','have','been','were','will','are','but'], w)) as words
    from ({_FIRST.format(k='ref', t='paper_rows')})),
 pg as (select doc_id, substring(text, 1, 3000) as raw, {_NTEXT.format("substring(text, 1, 3000)")} as norm from documents where text is not null),
-x as (select doc_id, slug, words, norm, au from pg join m on contains(norm, au) and (yr = '' or contains(raw, yr)) where au <> '' and length(au) >= 3 and len(words) >= 2),
+x as (select doc_id, slug, words, norm, au from pg join m on contains(norm, au) and (yr = '' or contains(raw, yr)) where au <> '' and len(words) >= 2),
 h as (select doc_id, slug, norm, au, len(list_filter(words, lambda w: contains(norm, w))) as hits, len(words) as n from x),
 sig as (select doc_id, slug, round(hits / n + case when instr(norm, au) - 1 < 1500 then 0.1 else 0.0 end, 6) as score from h where hits >= 2 and hits / n >= 0.25)"""
 _BEST = """, best as (select doc_id, slug, score, lead(score) over w as nx, row_number() over w as rn from sig window w as (partition by doc_id order by score desc, slug)),
 bm as (select doc_id, case when nx is null or round(score - nx, 6) >= 0.15 then slug end as slug, score, case when nx is null or round(score - nx, 6) >= 0.15 then 'match' else 'tie' end as decision from best where rn = 1)"""
 
+_FILES = rf"""with f as (select distinct file from (select concat(replace(regexp_replace(doi, '^.*/', ''), '.', '_'), '.PDF') as file from lab_papers where doi <> '' union all select pdf from paper_rows where pdf <> '')),
+st as (select file, regexp_replace(lower(regexp_extract(file, '[^/]*$')), '(.)\.[^.]*$', '\1') as s from f),
+cs as (select file, s from st union select file, replace(s, '_', '-') from st union select file, replace(s, '_', '.') from st union select file, regexp_extract(s, '^(s\d{{5}}-\d+-\d+-\d+).*', 1) from st union select file, regexp_extract(s, '1-s2\.0-(s\d+)-main', 1) from st),
+m as (select ref as slug, lower(doi) as d from ({_FIRST.format(k='ref', t='paper_rows')}) where coalesce(doi, '') <> ''),
+sx as (select slug, case when contains(d, '/') then regexp_replace(d, '^[^/]*/', '') else d end as x from m),
+pc as (select slug, x as p from sx union select slug, replace(x, '.', '_') from sx union select slug, unnest(regexp_extract_all(x, '([a-z]*\d{{3,}}[a-z\d\-_.]*)', 1)) from sx)
+select distinct file, slug from (select * from cs where length(s) >= 4) c join (select * from pc where length(p) >= 4) q on contains(q.p, c.s) or contains(c.s, q.p)"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "internal_indegree": f"with {_ROWS}, {_DEG} select key, indegree from deg",
         "xref_frequency": f"with {_ROWS} select cited, count(*) as n_citations, min(pos) as first_pos, string_agg(cast(citing as varchar), ',' order by pos, citing) as cited_by from edges group by 1",
-        "xref_ranked_minus_exclude": f"with {_ROWS} select cited, count(*) as n_citations, min(pos) as first_pos from edges where cited % 3 <> 0 group by 1 having count(*) >= 40 order by 2 desc, 3",
+        "xref_ranked_minus_exclude": f"with {_ROWS} select cited, count(*) as n_citations, min(pos) as first_pos, row_number() over (order by count(*) desc, min(pos)) as rank from edges where cited % 3 <> 0 group by 1 having count(*) >= 40",
         "top_cited_per_family": f"with {_ROWS}, r as (select family, ref, {_CITES} as cites, row_number() over (partition by family order by {_CITES} desc, row_pos) as rank from rows) select * from r where rank <= 4",
         "landmarks_capped": f"""with {_ROWS}, {_DEG},
 p as (select ref, family, row_pos % 5000 = 1 as is_lab, indegree, {_CITES} as cites from rows join deg on key = row_pos),
@@ -154,15 +176,21 @@ select row_pos, source, case source when 'crossref' then lower(d) when 'arxiv' t
         "family_digest": f"select row_pos, concat_ws(chr(9), coalesce(ref, ''), coalesce(topic, ''), coalesce(cast(cite_openalex as varchar), ''), concat({_LEAD}, ' (', cast(coalesce({_YEAR}, 0) as varchar), ')'), substring(coalesce(summary, ''), 1, 240)) as line from paper_rows",
         "coverage": "select count(*) as n, "
         + ", ".join(f"count_if(coalesce(trim({c}), '') <> '') as n_{c}" for c in ("doi", "arxiv", "pdf", "apa", "title", "family", "canonical_at"))
-        + ", count(cite_openalex) as n_openalex, count(cite_s2) as n_s2, min(year) as first_year, max(year) as last_year, bool_or(cite_s2 is not null) as has_cite from paper_rows",
+        + ", count(cite_openalex) as n_openalex, count(cite_s2) as n_s2, min(year) as first_year, max(year) as last_year, bool_or(cite_s2 is not null) as has_cite, count_if(summary <> title and trim(summary) <> '') as n_abstract, count_if(year < 1990) as n_early from paper_rows",
         "source_tally": "select source, count(*) as n, coalesce(source in ('source-doc', 'search', 'xref', 'lab', 'anteced', 'anteced-nosrc'), false) as known from paper_rows group by source",
         "doi_normalize": f"select row_pos, {_DOI_OF} as doi, {_NORM} as comparable from paper_rows",
         "arxiv_ids": rf"with a as (select row_pos, {_ARXIV} as a, {_DOI_OF} as d from paper_rows) select row_pos, regexp_replace(trim(a), 'v\d+$', '') as arxiv, case when a is not null then concat('ARXIV:', regexp_replace(trim(a), 'v\d+$', '')) when d is not null then concat('DOI:', d) end as s2 from a",
         "parse_apa": f"{_PARSED} select row_pos, authors, year, suffix, head, title, terminal, rest from p",
+        "split_apa": f"{_PARSED} select row_pos, head, concat(title, terminal) as title, rest from p where terminal <> '' and rest <> ''",
+        "build_apa": rf"""with {_AUTHOR_LIST},
+t as (select row_pos, authors, year, coalesce(title, '') as title, coalesce(venue, '') as venue, cast(cite_openalex as varchar) as v, nullif(type, '') as i from authors join lab_papers using (row_pos))
+select row_pos, translate(regexp_replace(concat(authors, ' (', coalesce(cast(year as varchar), 'n.d.'), '). ', title, case when regexp_matches(title, '[?!]$') then '' else '.' end,
+  case when venue <> '' then concat(' ', venue, case when v is not null then concat(', ', v, coalesce('(' || i || ')', '')) else '' end, '.') else '' end), '{_MARKUP}', '', 'g'), '‐‑', '--') as apa from t""",
+        "rows_appended": f"""select ref, title, year from (select *, row_number() over (partition by ref order by row_pos desc) as rn from paper_rows where ref is not null) where rn = 1
+union all select concat('work:', openalex), title, year from ({_FIRST.format(k='openalex', t='lab_papers where openalex is not null')})""",
+        "single_file_match": f"with m as ({_FILES}) select file, min(slug) as slug from m group by 1 having count(*) = 1",
         "lead_surname_year": f"select row_pos, {_LEAD} as lead, coalesce({_YEAR}, 0) as year from paper_rows",
-        "format_authors": """with a as (select row_pos, list_filter(coalesce(coauthors, []), lambda x: x is not null and x <> '' and x <> ',') as p from lab_papers)
-select row_pos, case when len(p) = 0 then 'Anon.' when len(p) = 1 then p[1] when len(p) <= 20 then concat(array_to_string(p[1:len(p)-1], ', '), ', & ', p[len(p)])
-  else concat(array_to_string(p[1:19], ', '), ', … ', p[len(p)]) end as authors from a""",
+        "format_authors": f"with {_AUTHOR_LIST} select row_pos, authors from authors",
         "split_names": rf"""with n as (select row_pos, unnest(coauthors) as name, generate_subscripts(coauthors, 1) - 1 as pos from lab_papers),
 t as (select row_pos, cast(pos as int) as pos, trim(regexp_replace(name, '{_WS}+', ' ', 'g')) as x from n where trim(name) <> ''),
 s as (select row_pos, pos, case when contains(x, ' ') then regexp_extract(x, '^(\S+(?: \S+)*?)((?: \.*(?i:{_PARTS})\.*)* \S+)$', 1) else '' end as given, x from t),
@@ -177,17 +205,13 @@ select row_pos, pos, family, given, array_to_string(list_transform(list_filter(s
         "title_markup_strip": rf"select row_pos, trim(regexp_replace(regexp_replace(trim(title), '{_MARKUP}', '', 'g'), '[ \t\r\n]+', ' ', 'g')) as title from paper_rows where title is not null",
         "fold_authors": f"select author_id, {_FOLD.format('display_name')} as folded from openalex_authors",
         "abstract_rebuild": r"select doc_id, trim(regexp_replace(text, '[ \t\r\n]+', ' ', 'g')) as text from documents where text <> ''",
-        "audit_findings": f"{_DEFECTS} select row_pos, finding from findings",
-        "repair_refs": rf"""with a as (select row_pos, apa, regexp_replace(apa, '{_MARKUP}', '', 'g') as a from paper_rows where apa is not null),
-b as (select *, replace(replace(a, '‐', '-'), '‑', '-') as b from a),
-f as (select *, trim(regexp_replace(regexp_replace(b, '([?!])\.({_WS}|$)', '\1\2', 'g'), '{_WS}{{2,}}', ' ', 'g')) as f,
-  array_to_string(list_filter([case when regexp_matches(apa, '{_MARKUP}') then 'markup' end, case when regexp_matches(a, '[‐‑]') then 'hyphen' end, case when regexp_matches(b, '[?!]\.') then 'terminal' end], lambda x: x is not null), ',') as changes from b)
-select row_pos, case when changes <> '' then f else apa end as fixed, changes from f""",
+        "audit_findings": f"{_AUDIT} select row_pos, level, finding from found",
+        "repair_refs": f"with {_REPAIRED.strip()} select row_pos, case when changes <> '' then f else apa end as fixed, changes from f",
+        "audit_summary": f"""{_AUDIT}, {_REPAIRED.strip()}
+select (select count(*) from paper_rows) as n_rows, (select count(distinct row_pos) from findings) as n_defective, (select count(*) from findings) as n_defects,
+  (select count(distinct row_pos) from notes) as n_noted, (select count(*) from f where changes <> '') as n_repairable, (select count_if(coalesce(canonical_at, '') <> '') from paper_rows) as n_canonical""",
         "reference_list": "with r as (select trim(apa) as a, min_by(link, row_pos) as link, min(row_pos) as first_pos from paper_rows where coalesce(trim(apa), '') <> '' group by 1) select case when regexp_matches(a, '[.?!]$') then a else concat(a, '.') end as reference, link, first_pos from r",
-        "suspect_surnames": rf"""{_PARSED},
-x as (select row_pos, trim(regexp_replace(unnest(regexp_extract_all(authors, '(?:^|,[\t-\r ]|…[\t-\r ])([^,]+?),[\t-\r ]+(?:[A-ZÀ-Ý]\.)', 1)), '^[&…][\t-\r ]*', '')) as surname from p where ok and apa is not null),
-sn as (select distinct row_pos, surname, list_filter(string_split_regex(surname, '{_WS}+'), lambda w: w <> '') as ws from x)
-select row_pos, surname from sn where len(ws) > 1 and len(list_filter(ws, lambda w: regexp_matches(lower(w), '^\.*({_PARTS})\.*$'))) = 0""",
+        "suspect_surnames": f"{_PARSED}, {_SUSPECTS} select row_pos, surname from suspects",
         "cite_keys": f"{_KEYS} select row_pos, key from keys",
         "cites_in_text": f"with {_CITED.strip()} select doc_id, citation from cited",
         "cite_resolution": f"""{_KEYS}, {_CITED.strip()},
@@ -207,13 +231,7 @@ select key, case when s2 >= 50 and openalex < 0.5 * s2 then greatest(openalex, n
         "unique_key_gate": "select ref, count(*) as n from paper_rows where ref is not null group by 1 having count(*) > 1",
         "doi_collisions": f"select lower({_DOI_OF}) as doi, count(*) as n_rows, count(distinct topic) as n_groups from paper_rows where ({_DOI_OF}) is not null group by 1 having count(*) > 1",
         "dup_same_link": "with r as (select row_pos, lower(trim(link)) as l from paper_rows where coalesce(trim(link), '') <> '') select x.row_pos as a, y.row_pos as b, cast(1.0 as double) as ratio, 'same DOI' as reason from r x join r y on x.l = y.l and x.row_pos < y.row_pos",
-        "filename_doi_match": rf"""with f as (select distinct file from (select concat(replace(regexp_replace(doi, '^.*/', ''), '.', '_'), '.PDF') as file from lab_papers where doi <> '' union all select pdf from paper_rows where pdf <> '')),
-st as (select file, regexp_replace(lower(regexp_extract(file, '[^/]*$')), '(.)\.[^.]*$', '\1') as s from f),
-cs as (select file, s from st union select file, replace(s, '_', '-') from st union select file, replace(s, '_', '.') from st union select file, regexp_extract(s, '^(s\d{{5}}-\d+-\d+-\d+).*', 1) from st union select file, regexp_extract(s, '1-s2\.0-(s\d+)-main', 1) from st),
-m as (select ref as slug, lower(doi) as d from ({_FIRST.format(k='ref', t='paper_rows')}) where coalesce(doi, '') <> ''),
-sx as (select slug, case when contains(d, '/') then regexp_replace(d, '^[^/]*/', '') else d end as x from m),
-pc as (select slug, x as p from sx union select slug, replace(x, '.', '_') from sx union select slug, unnest(regexp_extract_all(x, '([a-z]*\d{{3,}}[a-z\d\-_.]*)', 1)) from sx)
-select distinct file, slug from (select * from cs where length(s) >= 4) c join (select * from pc where length(p) >= 4) q on contains(q.p, c.s) or contains(c.s, q.p)""",
+        "filename_doi_match": _FILES,
         "text_signal_match": f"{_SIGNALS} select * from sig",
         "text_best_match": f"{_SIGNALS}{_BEST} select doc_id, slug, score, decision from bm",
         "slug_claims": f"{_SIGNALS}{_BEST} select doc_id, slug, row_number() over (partition by slug order by added_at desc, doc_id) = 1 as claimed from bm join documents using (doc_id) where slug is not null",

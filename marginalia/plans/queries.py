@@ -16,6 +16,10 @@ from marginalia.plans import bridge
 from marginalia.session import table
 
 
+#: The first year that a figure's axis shows.
+FIRST_YEAR = 1990
+
+
 def _rows(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "paper_rows")
 
@@ -121,7 +125,7 @@ def family_digest(s, d):
 
 def coverage(s, d):
     filled = lambda c: F.count_if(F.coalesce(F.trim(c), F.lit("")) != "").alias(f"n_{c}")
-    return _rows(s, d).agg(F.count(F.lit(1)).alias("n"), *[filled(c) for c in ("doi", "arxiv", "pdf", "apa", "title", "family", "canonical_at")], F.count("cite_openalex").alias("n_openalex"), F.count("cite_s2").alias("n_s2"), F.min("year").alias("first_year"), F.max("year").alias("last_year"), F.bool_or(F.col("cite_s2").isNotNull()).alias("has_cite"))
+    return _rows(s, d).agg(F.count(F.lit(1)).alias("n"), *[filled(c) for c in ("doi", "arxiv", "pdf", "apa", "title", "family", "canonical_at")], F.count("cite_openalex").alias("n_openalex"), F.count("cite_s2").alias("n_s2"), F.min("year").alias("first_year"), F.max("year").alias("last_year"), F.bool_or(F.col("cite_s2").isNotNull()).alias("has_cite"), F.count_if((F.col("summary") != F.col("title")) & (F.trim("summary") != "")).alias("n_abstract"), F.count_if(F.col("year") < FIRST_YEAR).alias("n_early"))
 
 
 def source_tally(s, d):
@@ -143,6 +147,21 @@ def parse_apa(s, d):
     return _rows(s, d).select("row_pos", A.parse_apa(F.col("apa")).alias("p")).select("row_pos", "p.*")
 
 
+def split_apa(s, d):
+    return _rows(s, d).select("row_pos", A.split_apa(F.col("apa")).alias("p")).where("p is not null").select("row_pos", "p.*")
+
+
+def build_apa(s, d):
+    none = F.lit(None).cast("string")
+    whole = titles.build_apa(F.col("coauthors"), F.col("year"), F.col("title"), F.col("venue"), F.col("cite_openalex").cast("string"), F.col("type"), none)
+    return _lab(s, d).select("row_pos", whole.alias("apa"))
+
+
+def rows_appended(s, d):
+    new = ranking.first_by_key(_lab(s, d).where("openalex is not null"), "openalex").select(F.concat(F.lit("work:"), F.col("openalex")).alias("ref"), "title", "year")
+    return references.append(ranking.last_by_key(_rows(s, d).where("ref is not null"), "ref").select("ref", "title", "year"), new)
+
+
 def lead_surname_year(s, d):
     return _rows(s, d).select("row_pos", A.lead_surname(F.col("apa")).alias("lead"), F.coalesce(A.year_of(F.col("apa")), F.lit(0)).alias("year"))
 
@@ -203,7 +222,7 @@ def abstract_rebuild(s, d):
 
 
 def audit_findings(s, d):
-    return references.findings(_rows(s, d)).where("level = 'defect'").select("row_pos", "finding")
+    return references.findings(_rows(s, d))
 
 
 def audit_summary(s, d):
@@ -328,6 +347,10 @@ def filename_doi_match(s, d):
     return reconcile.filename_matches(files.union(more), _manifest(s, d))
 
 
+def single_file_match(s, d):
+    return reconcile.single_matches(filename_doi_match(s, d))
+
+
 def text_signal_match(s, d):
     return reconcile.text_matches(table(s, d, "documents"), _manifest(s, d), "doc_id", "text")
 
@@ -375,9 +398,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for f in (
             internal_indegree, xref_frequency, xref_ranked_minus_exclude, top_cited_per_family, landmarks_capped, year_midrank_cdf, warped_axis, family_topic_crosstab, family_balance,
             xref_doi_frequency, xref_indegree, xref_backfilled, top_refs_per_topic, rows_last_wins, family_resolution, assignment_gate, topic_codes, family_digest, coverage, source_tally,
-            doi_normalize, arxiv_ids, parse_apa, lead_surname_year, split_names, format_authors, lab_references, lab_numbered, lab_dedup_first_wins, lab_author_spans, lab_detection, clean_venue,
+            doi_normalize, arxiv_ids, parse_apa, split_apa, build_apa, rows_appended, lead_surname_year, split_names, format_authors, lab_references, lab_numbered, lab_dedup_first_wins, lab_author_spans, lab_detection, clean_venue,
             title_markup_strip, norm_titles, fold_authors, abstract_rebuild, audit_findings, audit_summary, suspect_surnames, repair_refs, reference_list, reference_order, cite_keys, cites_in_text, cite_resolution, pdf_dois,
             counts_max_wins, counts_latest, counts_reconciled, attach_counts, rows_to_citations, rows_to_papers, verify_verdicts, verify_tallies, unique_key_gate, doi_collisions, dup_same_link, dup_similar_titles,
-            filename_doi_match, text_signal_match, text_best_match, slug_claims, sentence_case_vocab, beeswarm_layout, download_order, canonical_source, html_text,
+            filename_doi_match, single_file_match, text_signal_match, text_best_match, slug_claims, sentence_case_vocab, beeswarm_layout, download_order, canonical_source, html_text,
         )
     }

@@ -7,9 +7,11 @@ import json
 import zipfile
 from collections.abc import Iterable
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marginalia.operators.layout import place_labels, ticks
 from marginalia.sinks.tables import bounded
 
 COLUMNS = ["ref", "topic", "apa", "link", "summary", "tag", "pdf", "xref"]
@@ -103,28 +105,58 @@ def families_markdown(cells: DataFrame, codes: DataFrame, members: DataFrame) ->
     return "\n".join(out) + "\n"
 
 
-def figure(points: DataFrame, lanes: list[str], width: int = 1560, lane_height: int = 140) -> str:
-    """A standalone SVG of dots: ``points`` has family, x (0 to 1), offset, ref, label (NULL for small dots)."""
+def figure(
+    points: DataFrame, lanes: list[str], width: int = 1560, lane_height: int = 140, axis: dict[int, float] | None = None, warped: bool = False,
+    arrows: list[tuple[str, str, str, str]] = (), emphasis: frozenset[str] = frozenset(),
+) -> str:
+    """A standalone SVG of dots: ``points`` has family, x (0 to 1), offset, ref, label (NULL for small dots); raises if no point lies in a lane.
+
+    ``axis`` gives the places of years (those between are interpolated), of which the thinned ticks are drawn; ``arrows`` are (from, to, colour, label), left out if an
+    end isn't drawn; the refs in ``emphasis`` are ringed. Labels take the first free tier.
+    """
     left, top, plot = 270, 112, width - 330
     height = max(660, 150 + lane_height * len(lanes))
     step = (height - top - 56) / max(1, len(lanes))
+    drawn = [p for p in bounded(points) if p["family"] in lanes]
+    if not drawn:
+        raise ValueError("nothing to plot: no point lies in a lane")
+    place = {p["ref"]: (left + p["x"] * plot, top + (lanes.index(p["family"]) + 0.5) * step + p["offset"]) for p in drawn}
     out = [f'<svg xmlns="http://www.w3.org/2000/svg" viewBox="0 0 {width} {height}" font-family="sans-serif" font-size="12">']
+    if axis:
+        years = sorted(axis)
+        at = lambda year: left + float(np.interp(year, years, [axis[y] for y in years])) * plot
+        for year in ticks(min(axis), max(axis), at, warped):
+            out.append(f'<text x="{at(year):.1f}" y="{height - 20}" text-anchor="middle">{year}</text><line x1="{at(year):.1f}" x2="{at(year):.1f}" y1="{top}" y2="{height - 40}" stroke="#eee"/>')
     for i, lane in enumerate(lanes):
         y = top + (i + 0.5) * step
         out.append(f'<text x="12" y="{y:.1f}">{html.escape(lane)}</text><line x1="{left}" x2="{left + plot}" y1="{y:.1f}" y2="{y:.1f}" stroke="#ddd"/>')
-    for p in sorted(bounded(points), key=lambda r: (r["family"], r["x"], r["ref"])):
-        if p["family"] in lanes:
-            x, y = left + p["x"] * plot, top + (lanes.index(p["family"]) + 0.5) * step + p["offset"]
-            out.append(f'<circle cx="{x:.1f}" cy="{y:.1f}" r="{7 if p["label"] else 2.7}"><title>{html.escape(p["ref"])}</title></circle>')
-            if p["label"]:
-                out.append(f'<text x="{x + 9:.1f}" y="{y - 9:.1f}">{html.escape(p["label"])}</text>')
+    for a, b, color, label in arrows:
+        if a in place and b in place:
+            (x1, y1), (x2, y2) = place[a], place[b]
+            out.append(f'<path d="M{x1:.1f},{y1:.1f} Q{(x1 + x2) / 2:.1f},{min(y1, y2) - 30:.1f} {x2:.1f},{y2:.1f}" fill="none" stroke="{html.escape(color)}"><title>{html.escape(label)}</title></path>')
+    drawn.sort(key=lambda r: (lanes.index(r["family"]), r["x"], r["ref"]))
+    big = [p for p in drawn if p["label"]]
+    tiers = dict(zip((p["ref"] for p in big), place_labels([(*place[p["ref"]], p["label"]) for p in big])))
+    for p in drawn:
+        x, y = place[p["ref"]]
+        marked = f' stroke="#c00" stroke-width="2"' if emphasis and p["ref"] in emphasis else ""
+        out.append(f'<circle data-ref="{html.escape(p["ref"])}" cx="{x:.1f}" cy="{y:.1f}" r="{7 if p["label"] else 2.7}"{marked}><title>{html.escape(p["ref"])}</title></circle>')
+        if p["label"]:
+            out.append(f'<text x="{x:.1f}" y="{y + tiers[p["ref"]]:.1f}" text-anchor="middle">{html.escape(p["label"])}</text>')
     return "".join([*out, "</svg>"])
 
 
+#: A click on a dot shows its row.
+_CARD = (
+    "document.addEventListener('DOMContentLoaded',()=>{const rows=new Map(JSON.parse(document.getElementById('data').textContent).map(r=>[String(r.ref),r])),card=document.getElementById('card');"
+    "document.addEventListener('click',e=>{const c=e.target.closest('circle');card.textContent=c&&rows.has(c.dataset.ref)?Object.entries(rows.get(c.dataset.ref)).map(p=>p.join(': ')).join('\\n'):'';});});"
+)
+
+
 def page(svg: str, data: list[dict], title: str) -> str:
     """An HTML page with the figure and its data; the data can't close the script element."""
     safe = json.dumps(data, ensure_ascii=False, default=str).replace("</", "<\\/")
-    return f'<!doctype html><meta charset="utf-8"><title>{html.escape(title)}</title>{svg}<script type="application/json" id="data">{safe}</script>'
+    return f'<!doctype html><meta charset="utf-8"><title>{html.escape(title)}</title>{svg}<div id="card"></div><script>{_CARD}</script><script type="application/json" id="data">{safe}</script>'
 
 
 def document(content: dict, references: list[str], path: str) -> None:

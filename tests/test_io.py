@@ -44,7 +44,7 @@ def test_fetch_retries():
 
 def test_lookup_batches():
     r = services._Reader({"ids": json.dumps(["a", "b", "a", "c"]), "batch": "2", "url": "http://127.0.0.1:1/{ids}", "agent": "me"})
-    assert [p.ids for p in r.partitions()] == [["a", "b"], ["c"]]
+    assert [p.batches for p in r.partitions()] == [[["a", "b"]], [["c"]]]
 
 
 def test_payloads(spark):
@@ -132,3 +132,68 @@ def test_docs(tmp_path):
     with pytest.raises(ValueError):
         docs.splice("no marks", "x")
     assert docs.wrap("aa bb cccccccc d", 5) == ["aa bb", "cccccccc", "d"]
+
+
+def test_answers_of_services():
+    assert services.answers({"a": 1, "b": None}, ["a", "b", "c"]) == {"a": 1}
+    works = {"results": [{"doi": "https://doi.org/10.1/A", "n": 5}, {"doi": "10.1/b"}, {"doi": None}]}
+    assert services.answers(works, ["10.1/a", "10.1/B", "10.1/c"], "results", "doi") == {"10.1/a": works["results"][0], "10.1/B": works["results"][1]}
+    assert services.answers([{"x": 1}, None], ["p", "q"], key="#") == {"p": {"x": 1}}
+    assert services.answers(None, ["p"], "results", "doi") == {}
+    slow = services._Reader({"ids": json.dumps(["a", "b", "c"]), "batch": "2", "pause": "3"})
+    assert [p.batches for p in slow.partitions()] == [[["a", "b"], ["c"]]]
+
+
+def test_service_payloads(spark):
+    one = lambda body, **more: spark.createDataFrame([(json.dumps(body) if body is not None else None, *more.values())], ", ".join(["body string", *(f"{k} {'array<string>' if isinstance(v, list) else 'string'}" for k, v in more.items())]))
+    rec = {"result": {"uids": ["7"], "7": {"uid": "7", "title": "T", "pubdate": "2019 Mar", "authors": [{"name": "Doe J"}], "source": "Brain"}}}
+    assert services.summary_records(one(rec, uid="PMC7")).head().asDict() == {"id": "PMC7", "status": "hit", "title": "T", "year": "2019", "first_author": "Doe J", "journal": "Brain"}
+    assert [services.summary_records(one(b, uid="8")).head()["status"] for b in (rec, None, {})] == ["miss", "transient", "miss"]
+    assert services.search_hits(one({"esearchresult": {"idlist": ["5", "6"]}})).head()["hit"] == "5"
+    assert services.search_hits(one({"esearchresult": {}})).head()["hit"] is None
+    page = {"results": [{"doi": "https://doi.org/10.1/A", "cited_by_count": 3}, {"doi": "https://doi.org/10.1/a", "cited_by_count": 9}, {"doi": None, "cited_by_count": 1}, {"doi": "10.1/z"}]}
+    assert [tuple(r) for r in services.work_counts(one(page)).collect()] == [("10.1/a", 9)]
+    assert one({"cited_by_count": 0}).select(services.single_count(F.col("body"))).head()[0] == 0
+    batch = one([{"citationCount": 4, "influentialCitationCount": 1}, None, {"citationCount": None}], ids=["a", "b", "c"])
+    assert [tuple(r) for r in services.positional_counts(batch).collect()] == [("a", 4, 1)]
+    people = {"results": [{"id": "https://x/A1", "display_name": "Ada", "orcid": "https://orcid.org/0-1", "works_count": 2, "cited_by_count": 3, "last_known_institutions": [{"display_name": "U"}], "counts_by_year": [{"year": 2020}, {"year": 1970}]}]}
+    a = services.author_candidates(one(people)).head()
+    assert (a["author_id"], a["orcid"], a["institutions"], a["first_year"], a["last_year"], a["merged"], a["only"]) == ("A1", "0-1", ["U"], 1970, 2020, True, True)
+
+
+def test_works_pages(spark):
+    from marginalia.operators import lab
+
+    work = {
+        "id": "W1", "doi": "https://doi.org/10.1/a", "title": "On sleep", "publication_year": 2020, "cited_by_count": 2, "type": "article", "topics": [{"display_name": "Sleep"}], "primary_location": {"source": {"display_name": "Brain"}},
+        "abstract_inverted_index": {"b": [1], "a": [0]}, "authorships": [{"author": {"display_name": "Rosa de Heer"}}, {"author": {"display_name": ""}}], "biblio": {"volume": "3", "issue": "", "first_page": "7", "last_page": ""},
+    }
+    bodies = {"%2A": {"results": [work], "meta": {"next_cursor": "n+"}}, "n%2B": {"results": [], "meta": {"next_cursor": None}}}
+    waits = []
+    pages = list(services.cursor_pages(lambda url: json.dumps(bodies[url[2:]]).encode(), "u/{cursor}", waits.append))
+    assert len(pages) == 2 and waits == [0.3]
+    w = services.works(spark.createDataFrame([(p,) for p in pages], "body string")).withColumn("row_pos", F.lit(1))
+    assert (w.head()["summary"], w.head()["pages"], w.head()["volume"]) == ("a b", "7", "3")
+    assert lab.paper_rows(w).head()["apa"] == "de Heer, R. (2020). On sleep. Brain, 3, 7."
+
+
+def test_post_batch():
+    waits, calls = [], []
+
+    def opener(request, timeout):
+        calls.append(request.data)
+        if len(calls) < 3:
+            raise urllib.error.HTTPError("u", 429, "later", {}, None)
+        return io.BytesIO(b"[1]")
+
+    assert services.post_batch("http://x", ["a"], "me", opener, wait=waits.append) == "[1]" and waits == [15, 30]
+    calls.clear()
+    assert services.post_batch("http://x", ["a"], "me", opener, tries=2, wait=waits.append) is None
+
+
+def test_figure_gate_ticks_and_arrows(spark):
+    pts = spark.createDataFrame([("a", 0.1, 0.0, "R1", "Doe 2000"), ("a", 0.9, 0.0, "R2", None)], "family string, x double, offset double, ref string, label string")
+    with pytest.raises(ValueError, match="nothing to plot"):
+        reports.figure(pts, ["b"])
+    svg = reports.figure(pts, ["a"], axis={2000: 0.1, 2010: 0.9}, arrows=[("R1", "R2", "red", "x"), ("R1", "R9", "red", "y")], emphasis=frozenset({"R2"}))
+    assert ">2000</text>" in svg and svg.count("<path") == 1 and svg.count("stroke-width") == 1 and "Doe 2000" in svg

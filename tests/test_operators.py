@@ -178,3 +178,36 @@ def test_labels_and_ticks(spark):
     assert [(r["x1"], r["x2"]) for r in layout.arrows(spec, pos).collect()] == [(1.0, 3.0)]
     pts = spark.createDataFrame([("f", "a", 0.0), ("f", "b", 0.0)], "lane string, ref string, x double")
     assert sorted(r["offset"] for r in layout.big_dots(pts, "lane", "x", "ref", True).collect()) == [0.0, 24.0]
+
+
+def test_numbers_fit_beyond_the_sample_of_range_bounds(spark):
+    """More rows than a range partitioner samples, and columns beyond the order's."""
+    df = spark.range(0, 600_000, 1, 4).select(((F.col("id") * 7919) % 600_000).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("extra"))
+    got = ranking.ranked(df, "n", F.col("k")).agg(F.count_if(F.col("n") == F.col("k") + 1), F.count_distinct("n")).head()
+    assert tuple(got) == (600_000, 600_000)
+
+
+def test_ranked_candidates(spark):
+    c = spark.createDataFrame([("a", 3, 5), ("b", 9, 7), ("c", 3, 1), ("d", 1, 1), ("e", 8, 1)], "doi string, n_citations bigint, first_pos bigint")
+    got = graph.ranked_candidates(c, spark.createDataFrame([("e",)], "doi string"), "doi").collect()
+    assert {r["doi"]: r["rank"] for r in got} == {"b": 1, "c": 2, "a": 3}
+
+
+def test_crowded_place_stands_on_the_last_rung(spark):
+    pts = spark.createDataFrame([("l", 2000.0, f"{i:03d}") for i in range(60)], "lane string, x double, tie string")
+    got = {r["tie"]: r["offset"] for r in layout.beeswarm(pts, "lane", "x", "tie").collect()}
+    assert [got[f"{i:03d}"] for i in range(60)] == layout.swarm([2000.0] * 60)
+
+
+def test_gates_raise(spark):
+    from marginalia.operators import families, references
+
+    rows = spark.createDataFrame([(1, "R1", "Doe, A. Title. Venue.", None, None, None), (2, "R2", "Doe, A. (2000). Title. Venue.", None, None, None)], "row_pos int, ref string, apa string, doi string, link string, arxiv string")
+    with pytest.raises(ValueError, match="no-year"):
+        references.gate(references.findings(rows))
+    references.gate(references.findings(rows.where("row_pos = 2")))
+    fams = spark.createDataFrame([("x",), ("y",)], "key string")
+    assigned = spark.createDataFrame([("R1", "x"), ("R3", "z")], "ref string, family string")
+    with pytest.raises(ValueError, match="missing: \\['R2'\\]"):
+        families.gate(families.violations(rows, assigned, fams))
+    families.gate(families.violations(rows.where("ref = 'R1'"), assigned.where("ref = 'R1'"), fams))
