@@ -19,6 +19,8 @@ NEIGHBOURS = frozenset(
     solid spaced spacer spaces spade spec spend spica spice spit split spreads stabs staffs stag stank steak steals steel steep steps stinks stinky stop strange streets strep
     stub stuff stunk suffers suit sum surfer tall tame tap tarp tats tea teams teem teethe tell theirs theme then these thin things thrash threat throats throw thrusts tie
     tim timed timer times tine ting tit titis titus toll tome tongues tots track trains tram traps trashy trick trip trucks trust trusting tuck twit typed types typo vette
-    vote wan wants wasted wastes wat weeps went were witch woken woman wont wore yours zorras zorro дураки идиоты скука стука сутки тупо
+    vote wan wants wasted wastes wat weeps went were witch woken woman wont wore yours zorras zorro showed same recorded though here lack returned counts dummy ridge drives careless dos dancers mild diet chronic bats workers rapid finches scale quite trace match
+    down drawn leaves most fell halfway will prey far hate ever beach cost hold but bullocks bustards hunter hunters counter showing shower shoving quote quiet quota dread
+    дураки скука стука сутки тупо
     """.split()
 )

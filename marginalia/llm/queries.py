@@ -91,7 +91,8 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_scores(spark: SparkSession, d: str) -> DataFrame:
-    return abuse.abuse_scores(table(spark, d, "documents"))
+    docs = table(spark, d, "documents")
+    return abuse.abuse_scores(docs, learned=abuse.learned_from(docs, table(spark, d, "labels")))
 
 
 def p9_rates(spark: SparkSession, d: str) -> DataFrame:
