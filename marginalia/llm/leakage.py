@@ -9,6 +9,7 @@ import unicodedata
 from collections import Counter
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,13 +18,15 @@ from marginalia.session import spread
 
 #: A passage is so many words, the next begins STEP later; every run of RUN words lies whole in one.
 PASSAGE, STEP, RUN = 40, 25, 15
-#: BM25, the postings of a block, and the share of an item's weakest run that a passage must score (an altered whole shows
-#: a passage of at least two runs, nine words in ten unaltered, so it scores more than that too).
-K1, B, BLOCK, SHARE = 1.2, 0.75, 32, 0.8
+HALF = (RUN + 1) // 2
+#: BM25, the postings of a block of a cursor, and the most blocks whose bounds are added up for a passage.
+K1, B, BLOCK, BOUNDS = 1.2, 0.75, 32, 4096
+#: An altered whole has one word in so many altered.
+ALTERED = 10
 #: The share of an altered item's words that must stand in order, and how much longer than the item its place may be.
 COVER, STRETCH = 0.75, 1.4
 
-_TAG = re.compile(r"<[^<>]{0,500}>")
+_TAG = re.compile(r"<[/!]?[A-Za-z-][^<>]*>")
 _SPLIT = re.compile(r"[-‐‑\xad][ \t]*(?:\r\n|\r|\n)[ \t>]*(?=[^\W\d_])")
 _SOFT = re.compile(r"[\xad​-‍⁠﻿]")
 _WORD = re.compile(r"[^\W_]+")
@@ -55,33 +58,52 @@ def own_texts(items: list[tuple[int, str | None]]) -> list[tuple[int, str]]:
 
 @dataclass
 class Index:
-    """Impact-ordered blocks by item number: term -> (highest impact, [(last item, highest impact, items, impacts)])."""
+    """The items' words and impacts, and for each term the bounds of the blocks of items that hold it."""
 
     ids: list[int] = field(default_factory=list)
     item_words: list[list[str]] = field(default_factory=list)
     runs: list[list[str]] = field(default_factory=list)
+    #: every run holds one of these whole: the item cut into pieces of HALF words
+    pieces: list[list[str]] = field(default_factory=list)
     sentences: list[list[str]] = field(default_factory=list)
-    postings: dict[str, tuple[float, list]] = field(default_factory=dict)
     threshold: list[float] = field(default_factory=list)
     weights: list[dict[str, float]] = field(default_factory=list)
-    bound: dict[str, float] = field(default_factory=dict)
+    #: term -> (blocks of items that hold it, its highest impact in each); a block's items are neighbours, ``width`` of them
+    bounds: dict[str, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
+    width: int = 1
+    needs: np.ndarray = field(default_factory=lambda: np.empty(0))
 
-    @property
-    def least(self) -> float:
-        return min(self.threshold, default=math.inf)
 
+def floor_of(words: list[str], weight: dict[str, float], longest: int) -> float:
+    """The score that some passage of any repetition of an item reaches.
 
-def build(items: list[tuple[int, str | None]]) -> Index:
-    """The inverted index of the items' own texts, with the score that any passage repeating RUN words of an item must reach."""
+    A run of RUN words lies whole in a passage and scores no less than the item's weakest run. Of an altered whole of n words some passage holds at least
+    (n + PASSAGE - STEP) / 2 in a row, no fewer than the lesser of n and PASSAGE allow; its weakest such stretch is taken without as many of its heaviest words as may be altered in all.
+    Sentences in another order hold a run unless all of them are shorter (``longest`` words); then a passage may hold any words of the item, the lightest are taken.
+    """
+    n = len(words)
+    run = min(sum(weight[t] for t in set(words[j : j + RUN])) for j in range(max(1, n - RUN + 1)))
+    stretch = min(n, PASSAGE, (n + PASSAGE - STEP) // 2)
+    whole = min(
+        sum(sorted((weight[t] for t in set(words[j : j + stretch])), reverse=True)[math.ceil(n / ALTERED) :]) for j in range(max(1, n - stretch + 1))
+    )
+    mixed = sum(sorted(weight[t] for t in set(words))[:stretch]) if longest < RUN else run
+    return min(run, whole, mixed) - 1e-6
+
+
+def build(own: list[tuple[int, str]]) -> Index:
+    """The inverted index of items' own texts (see :func:`own_texts`), with the score that some passage of any repetition of an item reaches."""
     ix = Index()
-    own = own_texts(items)
-    counts = []
+    counts, longest = [], []
     for i, t in own:
         w = words(t)
         ix.ids.append(i)
         ix.item_words.append(w)
         ix.runs.append(["".join(w[k : k + RUN]) for k in range(max(1, len(w) - RUN + 1))])
-        ix.sentences.append([s for s in ("".join(words(x)) for x in re.split(r"(?<=[.!?])\s+", t)) if s])
+        ix.pieces.append(["".join(w[k : k + HALF]) for k in range(0, max(1, len(w) - HALF + 1), HALF)])
+        parts = [x for x in map(words, re.split(r"(?<=[.!?])\s+", t)) if x]
+        ix.sentences.append(["".join(x) for x in parts])
+        longest.append(max(map(len, parts)) if len(parts) > 1 else len(w))
         counts.append(Counter(w))
     n, mean = len(own), sum(map(len, ix.item_words)) / max(1, len(own))
     df = Counter(t for c in counts for t in c)
@@ -93,16 +115,15 @@ def build(items: list[tuple[int, str | None]]) -> Index:
             weight[t] = idf * f * (K1 + 1) / (f + K1 * (1 - B + B * len(ix.item_words[k]) / mean))
             lists.setdefault(t, []).append((k, weight[t]))
         ix.weights.append(weight)
-        w = ix.item_words[k]
-        spans = [set(w[j : j + RUN]) for j in range(max(1, len(w) - RUN + 1))]
-        ix.threshold.append(SHARE * min(sum(weight[t] for t in s) for s in spans))
+        ix.threshold.append(floor_of(ix.item_words[k], weight, longest[k]))
+    ix.width = -(-n // BOUNDS) or 1
+    blocks = -(-n // ix.width)
+    ix.needs = np.array([min(ix.threshold[b * ix.width : (b + 1) * ix.width]) for b in range(blocks)])
     for t, plist in lists.items():
-        ix.bound[t] = max(s for _, s in plist)
-        blocks = [plist[j : j + BLOCK] for j in range(0, len(plist), BLOCK)]
-        ix.postings[t] = (
-            max(s for _, s in plist),
-            [(b[-1][0], max(s for _, s in b), [k for k, _ in b], [s for _, s in b]) for b in blocks],
-        )
+        top: dict[int, float] = {}
+        for k, s in plist:
+            top[k // ix.width] = max(s, top.get(k // ix.width, 0.0))
+        ix.bounds[t] = np.array(list(top), np.int64), np.array(list(top.values()))
     return ix
 
 
@@ -138,24 +159,33 @@ class _Cursor:
         return self.blocks[self.b][3][self.i]
 
 
+def alive(ix: Index, terms: list[str]) -> list[int]:
+    """The items of the blocks whose bounds for ``terms`` reach the least that one of their items needs."""
+    held = [ix.bounds[t] for t in terms]
+    if not held:
+        return []
+    total = np.bincount(np.concatenate([h[0] for h in held]), weights=np.concatenate([h[1] for h in held]), minlength=len(ix.needs))
+    return [k for b in np.flatnonzero(total >= ix.needs).tolist() for k in range(b * ix.width, min((b + 1) * ix.width, len(ix.ids)))]
+
+
 def wand(ix: Index, terms: set[str]) -> list[int]:
     """All items whose BM25 score for ``terms`` reaches their threshold, by block-max WAND.
 
-    The commonest terms, which together can't reach any threshold, get no cursor: their bound is taken off
-    the threshold and their impacts are looked up once an item's other terms may suffice.
+    The bounds of all blocks of items are added up first; cursors then walk the postings of the blocks that may hold a hit, skipping by the
+    highest impacts of their own blocks.
     """
-    least, found = ix.least, []
-    known = sorted((ix.postings[t][0], t) for t in terms if t in ix.postings)
-    spare, rest = 0.0, []
-    for bound, t in known:
-        if spare + bound >= least:
-            break
-        spare += bound
-        rest.append(t)
-    if len(rest) == len(known):
-        return found
-    cursors = [_Cursor(*ix.postings[t]) for _, t in known[len(rest) :]]
-    least -= spare
+    known = [t for t in terms if t in ix.bounds]
+    items = alive(ix, known)
+    if not items:
+        return []
+    found: list[int] = []
+    least = min(ix.threshold[k] for k in items)
+    cursors = []
+    for t in known:
+        plist = [(k, s) for k in items if (s := ix.weights[k].get(t))]
+        if plist:
+            parts = [plist[j : j + BLOCK] for j in range(0, len(plist), BLOCK)]
+            cursors.append(_Cursor(max(s for _, s in plist), [(b[-1][0], max(s for _, s in b), [k for k, _ in b], [s for _, s in b]) for b in parts]))
     while cursors:
         cursors.sort(key=_at)
         total, pivot = 0.0, -1
@@ -174,8 +204,7 @@ def wand(ix: Index, terms: set[str]) -> list[int]:
             for c in head:
                 c.seek(doc + 1)
         elif cursors[0].doc == doc:
-            score, weight, need = sum([c.score() for c in head]), ix.weights[doc], ix.threshold[doc]
-            if score + spare >= need and score + sum([weight.get(t, 0.0) for t in rest]) >= need:
+            if sum([c.score() for c in head]) >= ix.threshold[doc]:
                 found.append(doc)
             for c in head:
                 c.seek(doc + 1)
@@ -206,20 +235,16 @@ def _in_order(a: list[str], b: list[str]) -> int:
 def leaked(ix: Index, text: str) -> list[tuple[int, str, float]]:
     """(item, kind, share of the item found) for every item that ``text`` repeats: 'run', 'sentences' or 'altered'."""
     doc = words(text)
-    bound = ix.bound
-    least = ix.least
     candidates: dict[int, list[int]] = {}
     for a in range(0, max(1, len(doc) - PASSAGE + STEP), STEP):
-        terms = set(doc[a : a + PASSAGE])
-        if sum([bound.get(t, 0.0) for t in terms]) >= least:
-            for k in wand(ix, terms):
-                candidates.setdefault(k, []).append(a)
+        for k in wand(ix, set(doc[a : a + PASSAGE])):
+            candidates.setdefault(k, []).append(a)
     if not candidates:
         return []
     letters, have, out = "".join(doc), set(doc), []
     for k, places in sorted(candidates.items()):
         item = ix.item_words[k]
-        hits = sum(r in letters for r in ix.runs[k])
+        hits = sum(r in letters for r in ix.runs[k]) if any(p in letters for p in ix.pieces[k]) else 0
         if hits:
             out.append((ix.ids[k], "run", hits / len(ix.runs[k])))
             continue
@@ -257,22 +282,24 @@ def _search(shared):
     return run
 
 
-def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", max_items: int = 50_000) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", most: int = 50_000) -> DataFrame:
     """Every document that repeats a test item: doc_id, item_id, kind, share of the item.
 
-    The items are a bounded set (more than ``max_items`` is an error): their index is built once and sent to all executors. Every
-    document's overlapping passages query it by block-max WAND, retrieving all items above thresholds that no true repetition of
-    RUN words can miss; candidates are then compared letter by letter, and in order for altered wholes.
+    An index of at most ``most`` items is built once and sent to all executors; more items are split into as many indexes, searched one after the
+    other, after the lead-ins that items share were counted over all of them. Every document's overlapping passages query the index by block-max
+    WAND, retrieving all items above thresholds that no true repetition can miss; candidates are then compared letter by letter, and in order for altered wholes.
 
     Defined cases: NULL and empty documents or items match nothing; items without own text after their lead-in are left out;
     repeated documents come out each, repeated items under each id; extra columns are dropped; documents of any length are read whole.
     """
     spark = docs.sparkSession
-    rows = items.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t")).where("i is not null").head(max_items + 1)
-    if len(rows) > max_items:
-        raise ValueError(f"more than {max_items} test items: split them, one call for each part")
-    shared = spark.sparkContext.broadcast(build([(r["i"], r["t"]) for r in rows]))
     key = docs.schema[doc_id].dataType.simpleString()
     texts = spread(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text <> ''"))
-    out = texts.mapInArrow(_search(shared), f"id {key}, item_id bigint, kind string, share double")
+    rows = items.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t")).where("i is not null and t <> ''")
+    own = own_texts([(r["i"], r["t"]) for r in rows.toLocalIterator()])
+    out = None
+    for k in range(0, max(1, len(own)), most):
+        shared = spark.sparkContext.broadcast(build(own[k : k + most]))
+        part = texts.mapInArrow(_search(shared), f"id {key}, item_id bigint, kind string, share double")
+        out = part if out is None else out.union(part)
     return out.withColumnRenamed("id", doc_id)

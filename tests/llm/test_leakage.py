@@ -1,15 +1,13 @@
 import random
 
-import pytest
-
 from marginalia.llm import leakage
 
 random.seed(11)
 WORDS = [f"w{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "klmnprst"]
 LEAD = "Answer the question about a paper: "
 ITEMS = [(i, (LEAD if i % 2 else "") + ". ".join(" ".join(random.sample(WORDS, 11)).capitalize() for _ in range(5)) + ".") for i in range(40)] + [(90, None), (91, ""), (92, LEAD)]
-IX = leakage.build(ITEMS)
 OWN = dict(leakage.own_texts(ITEMS))
+IX = leakage.build(list(OWN.items()))
 
 
 def hits(text):
@@ -44,6 +42,35 @@ def test_markup_and_line_ends():
     assert hits("*x* " + split.replace(" ", " **", 1)) == {3}
 
 
+def test_a_long_tag_does_not_break_a_run():
+    ws = OWN[8].split()
+    assert hits(f"{' '.join(ws[:8])} <span data-note=\"{'x' * 600}\">{' '.join(ws[8:16])}</span>") == {8}
+
+
+def test_a_sign_for_less_opens_no_tag():
+    assert hits(f"The effect (p < .05) held. {OWN[4]} {noise(90)}\n> quoted") == {4}
+
+
+def test_no_repetition_scores_below_its_floor():
+    """Runs and altered wholes at every offset, the heaviest words altered."""
+    for k in range(0, 40, 3):
+        words, weight = IX.item_words[k], IX.weights[k]
+        heavy = sorted(set(words), key=weight.get, reverse=True)[: len(words) // leakage.ALTERED]
+        for offset in range(leakage.STEP):
+            for text in (["q"] * offset + words[20:35], ["q"] * offset + ["q" if w in heavy else w for w in words]):
+                text = text + ["q"] * leakage.PASSAGE
+                assert any(k in leakage.wand(IX, set(text[a : a + leakage.PASSAGE])) for a in range(0, len(text), leakage.STEP))
+
+
+def test_wand_with_blocks_of_several_items(monkeypatch):
+    monkeypatch.setattr(leakage, "BOUNDS", 8)
+    wide = leakage.build(list(OWN.items()))
+    assert wide.width > 1
+    for _ in range(100):
+        terms = set(random.sample(WORDS, 25)) | set(random.choice(list(OWN.values())).lower().replace(".", "").split()[:12])
+        assert sorted(leakage.wand(wide, terms)) == sorted(leakage.wand(IX, terms))
+
+
 def test_wand_finds_all_above_threshold():
     for _ in range(300):
         terms = set(random.sample(WORDS, 25)) | set(random.choice(list(OWN.values())).lower().replace(".", "").split()[:12])
@@ -72,5 +99,5 @@ def test_rows(spark):
     got = sorted((r["doc_id"], r["item_id"], r["kind"]) for r in leakage.leaks(docs, items).collect())
     assert got == [(1, 5, "run"), (1, 5, "run"), (4, 6, "run")]
     assert leakage.leaks(docs.limit(0), items).count() == 0 and leakage.leaks(docs, items.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        leakage.leaks(docs, items, max_items=3)
+    # more items than one index takes: several indexes, the same rows
+    assert sorted((r["doc_id"], r["item_id"], r["kind"]) for r in leakage.leaks(docs, items, most=7).collect()) == got
