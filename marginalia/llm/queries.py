@@ -61,7 +61,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     names = table(spark, d, "lab_papers").select(F.explode("coauthors").alias("name"))
-    return confusables.lookalike_groups(names, "name")
+    return confusables.lookalike_groups(names.union(table(spark, d, "paper_rows").select("apa")), "name")
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
