@@ -8,6 +8,7 @@ import unicodedata
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +33,8 @@ _NICK = {n: frozenset(k for k, v in NICKNAMES.items() if n in v.split()) for v i
 ORG_KINDS = ("academy", "centre", "center", "consortium", "institute", "laboratory", "university", "college", "school", "society", "foundation", "department", "hospital", "group", "network")
 _STOP = frozenset("for of the and in at".split())
 _FOLD = str.maketrans({"ł": "l", "ø": "o", "đ": "d", "æ": "ae", "œ": "oe", "ß": "ss", "þ": "th", "ð": "d", "ı": "i"})
-#: Family names of at least so many letters may hold one and two edits.
-ONE_EDIT, TWO_EDITS = 5, 8
+#: Family names of at least so many letters may hold one and two edits; from SHORT letters on one edit if a given name is met in full.
+SHORT, ONE_EDIT, TWO_EDITS = 3, 5, 8
 PREFIX = 9
 
 
@@ -83,7 +84,7 @@ def deletions(w: str) -> set[str]:
     """
     short, w = w, w[:PREFIX]
     out = {w}
-    if len(short) >= ONE_EDIT:
+    if len(short) >= SHORT:
         once = {w[:i] + w[i + 1 :] for i in range(len(w))}
         out |= once
         if len(short) >= TWO_EDITS - 2:
@@ -110,19 +111,21 @@ class Register:
     near_places: dict[str, set[str]] = field(default_factory=dict)
     seen: dict[str, dict[str, int]] = field(default_factory=dict)
     seen_places: dict[str, list[int]] = field(default_factory=dict)
+    #: of a register in parts: hashes of the family names of all parts
+    known: frozenset[int] | None = None
 
     def families(self, w: str) -> dict[str, int]:
         """Registered family names within the permitted edits of ``w``: itself alone if it is one."""
         if w in self.by_family:
             return {w: 0}
-        if len(w) < ONE_EDIT:
+        if len(w) < SHORT or self.known is not None and _hash(w) in self.known:
             return {}
         cached = self.seen.get(w)
         if cached is None:
             found = set().union(*(self.near.get(d, ()) for d in deletions(w)))
             bits = _letters(w)
             found = [f for f in found if (bits ^ _letters(f)).bit_count() <= 4]
-            cached = {f: d for f in found if (d := distance(w, f)) <= (2 if min(len(w), len(f)) >= TWO_EDITS else 1)}
+            cached = {f: d for f in found if min(len(w), len(f)) >= SHORT and (d := distance(w, f)) <= (2 if min(len(w), len(f)) >= TWO_EDITS else 1)}
             if len(self.seen) < 500_000:
                 self.seen[w] = cached
         return cached
@@ -159,11 +162,19 @@ def _name_words(s: str) -> list[str]:
     return [w for w in words if fold(w) not in TITLES or many and len(w) == 2 and w.isupper()]
 
 
-def build(rows: list[tuple[str, str | None, str | None]]) -> Register:
-    """The register of (author_id, display_name, kind); NULL or empty names are left out."""
-    reg = Register()
+def _tokens(name: str | None) -> list[str]:
+    return [fold(w) for w in _words((name or "").replace("-", "").replace("–", ""))]
+
+
+def _hash(word: str) -> int:
+    return xxhash.xxh3_64_intdigest(word.encode())
+
+
+def build(rows: list[tuple[str, str | None, str | None]], known: frozenset[int] | None = None) -> Register:
+    """The register of (author_id, display_name, kind); NULL or empty names are left out. ``known``: see Register."""
+    reg = Register(known=known)
     for author_id, name, kind in rows:
-        toks = [fold(w) for w in _words((name or "").replace("-", "").replace("–", ""))]
+        toks = _tokens(name)
         if not toks:
             continue
         if kind == "org":
@@ -241,6 +252,8 @@ def person(reg: Register, tokens: list[str], family_at: int, family: str, edits:
             c = min(c, align(whole, p))
         if particles != p.particles:
             c += 0.2 if not particles or not p.particles else 9.0
+        if edits and len(family) < ONE_EDIT + 1 and not any(len(g) > 2 and g in p.given for g in whole):
+            continue  # a short family name with an edit names somebody only with a given name in full
         c += 0.35 * edits
         if c < LIMIT and (found is None or c < found[0]):
             found = (c, p.author_id)
@@ -264,7 +277,7 @@ def read_person(reg: Register, text: str) -> tuple[float, str] | None:
             break
         for i, w in enumerate(alt):
             f = fold(w)
-            if len(f) >= 4 or f in reg.by_family:
+            if len(f) >= SHORT or f in reg.by_family:
                 for fam, e in reg.families(f).items():
                     hit = person(reg, alt, i, fam, e)
                     if hit and (best is None or hit < best):
@@ -290,10 +303,10 @@ def _kind(w: str) -> str | None:
     return None
 
 
-def read_org(reg: Register, text: str) -> str | None:
+def read_org(reg: Register, text: str) -> tuple[float, str] | None:
     """The registered organisation that a name names: every word of it must be met, in any order, once."""
     toks = [t for w in _words(_REMARK.sub(" ", text)) if (t := fold(w)) not in _STOP]
-    if not 3 <= len(toks) <= 7:
+    if len(toks) < 2:
         return None
     best = None
     kinds = {i: k for i, t in enumerate(toks) if (k := _kind(t))}
@@ -314,9 +327,9 @@ def read_org(reg: Register, text: str) -> str | None:
                 break
         else:
             c = min(costs.values()) + len(toks) - len(words)
-            if c <= 2 and (best is None or c < best[0]):
+            if c <= (2 if len(words) > 2 else 1 if len(toks) == len(words) else 0) and (best is None or c < best[0]):
                 best = (c, author_id)
-    return best and best[1]
+    return best
 
 
 def clean(text: str) -> str:
@@ -324,15 +337,19 @@ def clean(text: str) -> str:
     return text if text.isascii() else consistent_text(repair_text(text)[0].replace("\ufffd", ""))
 
 
-def mentions_of_name(reg: Register, name: str | None) -> list[str]:
-    """The author_ids that one entry of a name list names (at most one)."""
+#: What an organisation's reading costs less than any person's: it is taken first.
+_FIRST = 100.0
+
+
+def mentions_of_name(reg: Register, name: str | None) -> list[tuple[int, float, str]]:
+    """(0, cost, author_id) of the entry that one entry of a name list names (at most one)."""
     if not name or not name.strip():
         return []
     text = clean(name)
     if any(_kind(w) for w in _words(text)) and (org := read_org(reg, text)):
-        return [org]
+        return [(0, org[0] - _FIRST, org[1])]
     hit = read_person(reg, text)
-    return [hit[1]] if hit else []
+    return [(0, *hit)] if hit else []
 
 
 _YEAR = re.compile(r"\(\s*\d{4}[a-z]?\s*\)")
@@ -352,18 +369,18 @@ def _is_initials(seg: list[str]) -> bool:
     return bool(seg) and all(len(w) == 1 or len(w) <= 3 and w.isupper() for w in seg)
 
 
-def mentions_in_authors(reg: Register, authors: str) -> list[str]:
-    """The author_ids that the author part of a reference names, whichever order its names and initials stand in."""
+def mentions_in_authors(reg: Register, authors: str) -> list[tuple[int, float, str]]:
+    """(place, cost, author_id) of the entries that the author part of a reference names, whichever order its names and initials stand in."""
     segs = [s for s in re.split(r"[,&;]| and ", authors)]
     words = [_name_words(_REMARK.sub(" ", s)) for s in segs]
-    out: list[str] = []
+    out: list[tuple[int, float, str]] = []
     for i, ws in enumerate(words):
         if not ws:
             continue
         if len(ws) > 1 and any(_kind(w) for w in ws):
             for text in (segs[i], f"{segs[i + 1]} {segs[i]}" if i + 1 < len(segs) else "", f"{segs[i - 1]} {segs[i]}" if i else ""):
                 if text and (org := read_org(reg, text)):
-                    out.append(org)
+                    out.append((i, org[0] - _FIRST, org[1]))
                     break
             continue
         nxt = words[i + 1] if i + 1 < len(words) else []
@@ -371,12 +388,12 @@ def mentions_in_authors(reg: Register, authors: str) -> list[str]:
         for k, w in enumerate(ws):
             f = fold(w)
             for f, width in ((f, 1), (f + fold(ws[k + 1]), 2)) if k + 1 < len(ws) else ((f, 1),):
-                if len(f) < ONE_EDIT and f not in reg.by_family:
+                if len(f) < SHORT and f not in reg.by_family:
                     continue
                 for fam, e in reg.families(f).items():
                     own = [x for x in ws[:k] + ws[k + width :] if fold(x) not in PARTICLES]
                     ways = [ws] if own else []
-                    if nxt and len(nxt) <= 3 and not any(reg.families(fold(x)) for x in nxt if len(x) >= ONE_EDIT):
+                    if nxt and not any(reg.families(fold(x)) for x in nxt if len(x) >= ONE_EDIT):
                         if not own:
                             ways.append([*ws, *nxt])
                         elif _is_initials(nxt):
@@ -388,47 +405,55 @@ def mentions_in_authors(reg: Register, authors: str) -> list[str]:
                         if hit and (best is None or hit < best):
                             best = hit
         if best:
-            out.append(best[1])
-    return list(dict.fromkeys(out))
+            out.append((i, *best))
+    return out
 
 
 def _link(shared, whole: bool):
     def run(batches):
         reg = shared.value
         for batch in batches:
-            rows, ids = [], []
+            rows, hits = [], []
             for i, t in enumerate(batch.column(1).to_pylist()):
-                if whole:
-                    hits = mentions_of_name(reg, t)
-                else:
-                    hits = mentions_in_authors(reg, author_part(t))
-                rows += [i] * len(hits)
-                ids += hits
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(ids, pa.string())], ["id", "author_id"])
+                found = mentions_of_name(reg, t) if whole else mentions_in_authors(reg, author_part(t))
+                rows += [i] * len(found)
+                hits += found
+            at = pa.array(rows, pa.int64())
+            columns = [pa.array([h[k] for h in hits], t) for k, t in enumerate((pa.int32(), pa.float64(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), *columns], ["id", "h", "place", "cost", "author_id"])
 
     return run
 
 
-def register(rows: DataFrame, max_rows: int = 200_000):
-    """The register as a broadcast value; a register of more than ``max_rows`` is an error (it is meant to be bounded)."""
-    found = rows.select("author_id", "display_name", "kind").where("author_id is not null").head(max_rows + 1)
-    if len(found) > max_rows:
-        raise ValueError(f"the register has more than {max_rows} rows")
-    return rows.sparkSession.sparkContext.broadcast(build([tuple(r) for r in found]))
+def register(rows: DataFrame, most: int = 200_000) -> list:
+    """The register as broadcast values, one for each ``most`` entries; a larger register is searched part by part, with the same result."""
+    found = [tuple(r) for r in rows.select("author_id", "display_name", "kind").where("author_id is not null").toLocalIterator()]
+    known = None
+    if len(found) > most:
+        known = frozenset(_hash(t[-1]) for _, name, kind in found if kind != "org" and (t := _tokens(name)))
+    return [rows.sparkSession.sparkContext.broadcast(build(found[k : k + most], known)) for k in range(0, max(1, len(found)), most)]
+
+
+def _linked(df: DataFrame, key: str, text: str, reg: list, whole: bool) -> DataFrame:
+    kind = df.schema[key].dataType.simpleString()
+    rows = spread(df.select(F.col(key).alias("id"), F.col(text).alias("t"), F.xxhash64(text).alias("h")).where("t <> ''"))
+    out = None
+    for part in reg:
+        hits = rows.mapInArrow(_link(part, whole), f"id {kind}, h bigint, place int, cost double, author_id string")
+        out = hits if out is None else out.union(hits)
+    if len(reg) > 1:  # a mention names the entry that costs least in any part
+        out = out.groupBy("id", "h", "place").agg(F.min_by("author_id", F.struct("cost", "author_id")).alias("author_id"))
+    return out.select(F.col("id").alias(key), "author_id").distinct()
 
 
-def link_names(df: DataFrame, key: str, name: str, reg) -> DataFrame:
+def link_names(df: DataFrame, key: str, name: str, reg: list) -> DataFrame:
     """(key, author_id) for every row whose ``name`` is one person's or organisation's name in any spelling of a registered one.
 
     Equal (key, name) rows come out once. NULL and empty names name nobody. ``reg`` comes from :func:`register`.
     """
-    kind = df.schema[key].dataType.simpleString()
-    rows = spread(df.select(F.col(key).alias("id"), F.col(name).alias("name")).where("name <> ''"))
-    return rows.mapInArrow(_link(reg, True), f"id {kind}, author_id string").distinct().withColumnRenamed("id", key)
+    return _linked(df, key, name, reg, True)
 
 
-def link_references(df: DataFrame, key: str, apa: str, reg) -> DataFrame:
+def link_references(df: DataFrame, key: str, apa: str, reg: list) -> DataFrame:
     """(key, author_id) for every registered author that the author part of the reference ``apa`` names; defined cases as in :func:`link_names`."""
-    kind = df.schema[key].dataType.simpleString()
-    rows = spread(df.select(F.col(key).alias("id"), F.col(apa).alias("apa")).where("apa <> ''"))
-    return rows.mapInArrow(_link(reg, False), f"id {kind}, author_id string").distinct().withColumnRenamed("id", key)
+    return _linked(df, key, apa, reg, False)
