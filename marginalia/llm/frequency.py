@@ -40,11 +40,8 @@ def _aggregate(memory: str, spill: str):
                     con.execute("insert into t select term, n from b")
                     con.unregister("b")
             out = con.execute("select term, count(*)::bigint as records, sum(n)::bigint as entries from t group by term")
-            while rows := out.fetchmany(50_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64())],
-                    ["term", "records", "entries"],
-                )
+            reader = getattr(out, "to_arrow_reader", None) or out.fetch_record_batch
+            yield from reader(50_000)
         finally:
             con.close()
             if home:
@@ -60,9 +57,10 @@ def term_frequency(
 
     Repeats within a record are added up before anything else moves. The (term, record) pairs are then split by
     ``BITS`` bits of the term's hash; a piece of more than ``max_piece_rows`` pairs is split by the next bits, and so on,
-    and what one term alone makes oversized is split by the record's hash. Only piece sizes, at most
-    2**BITS per oversized piece, come to the driver. Each piece is aggregated by DuckDB within ``memory``,
-    spilling into the shared folder; a term split over pieces is added up at the end (its records don't overlap).
+    and what one term alone makes oversized is split by the record's hash. Only the sizes of pieces come to the driver, at most 2**BITS for each
+    oversized piece, of which there are no more than pairs / ``max_piece_rows``; a level reads two columns of hashes. Each piece is aggregated by DuckDB within
+    ``memory``, spilling into the shared folder; on an object store, which can't hold its spill files, pieces are a quarter of the size, so that they fit
+    in memory. A term split over pieces is added up at the end (its records don't overlap).
 
     Defined cases: NULL terms are left out; a NULL record counts as one record; extra columns are ignored; empty input, empty result.
     """
@@ -74,26 +72,26 @@ def term_frequency(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     pairs = cut(pairs.select("term", "n", F.xxhash64("term").alias("ht"), F.xxhash64("record", "term").alias("hr")))
-    # every row starts in piece 0 and walks down as long as its piece is oversized
-    piece, level, open_pieces = F.lit(0).cast("bigint"), 0, {0}
-    sizes = {0: pairs.count()}
-    while open_pieces := {p for p in open_pieces if sizes[p] > max_piece_rows}:
+    spill = shared_dir(spark).removeprefix("file://").removeprefix("file:")
+    if "://" in spill:
+        spill, max_piece_rows = "", max(1, max_piece_rows // 4)
+    # every row starts in piece 0, which is always split, and walks down as long as its piece is oversized
+    path, opened, open_pieces, sizes = [F.lit(0).cast("bigint")], [], {0}, {}
+    while open_pieces and len(path) <= TERM_LEVELS + 60 // BITS:
+        level = len(opened)
         h, at = ("ht", level) if level < TERM_LEVELS else ("hr", level - TERM_LEVELS)
-        if at * BITS >= 60:
-            break
-        grown = piece * F.lit(1 << BITS) + F.lit(1) + _bits(h, at)
-        piece = F.when(piece.isin(sorted(open_pieces)), grown).otherwise(piece)
-        found = pairs.select(piece.alias("piece")).groupBy("piece").count()
-        sizes = {r["piece"]: r["count"] for r in found.toLocalIterator()}
-        open_pieces = {c for p in open_pieces for c in range(p * (1 << BITS) + 1, p * (1 << BITS) + 1 + (1 << BITS)) if c in sizes}
-        level += 1
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(sizes))
-    spill = shared_dir(spark).removeprefix("file://")
-    if "://" in spill:  # an object store can't hold DuckDB's spill files: the pieces then stay in memory
-        spill = ""
+        path.append(path[-1] * F.lit(1 << BITS) + F.lit(1) + _bits(h, at))
+        opened.append(sorted(open_pieces))
+        children = pairs.where(path[level].isin(opened[level])).groupBy(path[level + 1].alias("piece")).count()
+        found = {r["piece"]: r["count"] for r in children.toLocalIterator()}
+        sizes = {p: n for p, n in sizes.items() if p not in open_pieces} | found
+        open_pieces = {p for p, n in found.items() if n > max_piece_rows}
+    piece = path[len(opened)]
+    for level in range(len(opened) - 1, -1, -1):
+        piece = F.when(path[level].isin(opened[level]), piece).otherwise(path[level])
+    total = sum(sizes.values())
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * total // max_piece_rows)
     placed = pairs.withColumn("piece", piece)
-    if len(sizes) == 1:  # nothing is oversized: the first hash bits alone partition the terms
-        placed = placed.withColumn("piece", F.pmod("ht", F.lit(8 * parts)))
     partial = placed.repartition(parts, "piece").select("term", "n").mapInArrow(_aggregate(memory, spill), "term string, records bigint, entries bigint")
     return partial.groupBy("term").agg(F.sum("records").alias("records"), F.sum("entries").alias("entries"))
 
