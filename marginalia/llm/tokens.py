@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import functools
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
+from dataclasses import dataclass
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +35,20 @@ def _encoder(vocabulary: str):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     enc = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     split = regex.compile(PATTERN.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
-    one = enc._core_bpe.encode_single_piece
-    cached = functools.lru_cache(maxsize=200_000)(lambda piece: one(piece.encode()))
-    return split, lambda piece: cached(piece) if len(piece) < 64 else one(piece.encode())
+    return split, _Pieces(enc._core_bpe.encode_single_piece).__getitem__
+
+
+class _Pieces(dict):
+    """The ids of pieces, each encoded once; long pieces and those beyond a number of them are not kept."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> list[int]:
+        ids = self.encode(piece.encode())
+        if len(piece) < 64 and len(self) < 200_000:
+            self[piece] = ids
+        return ids
 
 
 def cuts(texts: list[str]) -> list[list[int]]:
@@ -62,41 +75,61 @@ def cuts(texts: list[str]) -> list[list[int]]:
     return out
 
 
-def _chunks(batches):
-    import xxhash
-
-    for batch in batches:
-        ids, texts = batch.column(0), batch.column(1).to_pylist()
-        rows, whole, seq, k1, k2, chunk = [], [], [], [], [], []
-        for i, (t, ends) in enumerate(zip(texts, cuts(texts))):
-            digest = xxhash.xxh3_64_intdigest(t.encode()) - 2**63
-            a = 0
-            for n, b in enumerate(ends):
-                part = t[a:b]
-                d = xxhash.xxh3_128_intdigest(part.encode())
-                rows.append(i)
-                whole.append(digest)
-                seq.append(n)
-                k1.append((d >> 64) - 2**63)
-                k2.append((d & (2**64 - 1)) - 2**63)
-                chunk.append(part)
-                a = b
-        yield pa.RecordBatch.from_arrays(
-            [ids.take(pa.array(rows, pa.int64())), pa.array(whole, pa.int64()), pa.array(seq, pa.int32()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(chunk, pa.string())],
-            ["id", "whole", "seq", "k1", "k2", "chunk"],
-        )
-
-
-def encode_chunk(chunk: str, vocabulary: str = VOCABULARY) -> tuple[list[int], list[int], list[int]]:
-    """(ids, ends of the pattern's pieces, number of ids up to each end) of a chunk taken by itself."""
+#: Of a chunk's pieces so many from its start are kept for finding agreement with what is encoded across the join.
+HEAD = 16
+
+
+@dataclass(frozen=True)
+class Encoded:
+    """A chunk encoded by itself: its length, its ids, the ends of its first pieces with the number of ids up to each, and the last end that what follows can't change."""
+
+    size: int
+    ids: np.ndarray
+    ends: list[int]
+    upto: list[int]
+    tail: int
+    tail_ids: int
+
+
+def _chunks(whole_text: bool):
+    """One row per chunk: (id, digest of the text, number, digest of the chunk, size) and the chunk, or the whole text with the first chunk."""
+
+    def run(batches):
+        import xxhash
+
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            rows, whole, seq, k1, k2, text = [], [], [], [], [], []
+            for i, (t, ends) in enumerate(zip(texts, cuts(texts))):
+                digest = xxhash.xxh3_64_intdigest(t.encode()) - 2**63
+                a = 0
+                for n, b in enumerate(ends):
+                    part = t[a:b]
+                    d = xxhash.xxh3_128_intdigest(part.encode())
+                    rows.append(i)
+                    whole.append(digest)
+                    seq.append(n)
+                    k1.append((d >> 64) - 2**63)
+                    k2.append((d & (2**64 - 1)) - 2**63)
+                    text.append((None if n else t) if whole_text else part)
+                    a = b
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(whole, pa.int64()), pa.array(seq, pa.int32()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(text, pa.string())],
+                ["id", "whole", "seq", "k1", "k2", "text"],
+            )
+
+    return run
+
+
+def encode_chunk(chunk: str, vocabulary: str = VOCABULARY) -> Encoded:
+    """A chunk taken by itself."""
     split, encode = _encoder(vocabulary)
-    ids: list[int] = []
-    ends, upto = [], []
-    for m in split.finditer(chunk):
-        ids += encode(m.group())
-        ends.append(m.end())
-        upto.append(len(ids))
-    return ids, ends, upto
+    pieces = split.findall(chunk)
+    coded = list(map(encode, pieces))
+    ends, upto = list(accumulate(map(len, pieces))), list(accumulate(map(len, coded)))
+    final = bisect_right(ends, len(chunk) - REACH)
+    tail, tail_ids = (ends[final - 1], upto[final - 1]) if final else (0, 0)
+    return Encoded(len(chunk), np.fromiter(chain.from_iterable(coded), np.uint32, upto[-1] if upto else 0), ends[:HEAD], upto[:HEAD], tail, tail_ids)
 
 
 def _encode(vocabulary: str):
@@ -104,60 +137,87 @@ def _encode(vocabulary: str):
         for batch in batches:
             done = [encode_chunk(t, vocabulary) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *(pa.array([d[i] for d in done], pa.list_(pa.int32())) for i in range(3))], ["k1", "k2", "chunk", "ids", "ends", "upto"]
+                [
+                    batch.column(0), batch.column(1), pa.array([d.size for d in done], pa.int32()), pa.array([_packed(d.ids) for d in done], pa.binary()),
+                    pa.array([np.array([d.ends, d.upto], "<u4").tobytes() for d in done], pa.binary()), pa.array([d.tail for d in done], pa.int32()), pa.array([d.tail_ids for d in done], pa.int32()),
+                ],
+                _BOOK,
             )
 
     return run
 
 
-def join_chunks(chunks: list[tuple[str, list[int], list[int], list[int]]], vocabulary: str = VOCABULARY) -> list[int]:
-    """The ids of the joined text from those of its chunks.
+_BOOK = ["k1", "k2", "size", "ids", "heads", "tail", "tail_ids"]
+
+
+def _packed(ids: np.ndarray) -> bytes:
+    """Ids in two bytes each where they fit, else four; the first byte says which."""
+    wide = bool(len(ids)) and int(ids.max()) > 0xFFFF
+    return (b"4" if wide else b"2") + ids.astype("<u4" if wide else "<u2").tobytes()
+
+
+def _unpacked(part: dict) -> Encoded:
+    heads = np.frombuffer(part["heads"], "<u4").reshape(2, -1).tolist()
+    ids = np.frombuffer(part["ids"], "<u4" if part["ids"][:1] == b"4" else "<u2", offset=1)
+    return Encoded(part["size"], ids, heads[0], heads[1], part["tail"], part["tail_ids"])
+
+
+def join_chunks(text: str, chunks: list[Encoded], vocabulary: str = VOCABULARY) -> np.ndarray:
+    """The ids of a text from those of its chunks.
 
     A chunk's pieces are final up to REACH characters before its end. From there the text is split
-    and encoded anew until a piece ends where one of the next chunk's own pieces does: from that point both agree.
+    and encoded anew until a piece ends where one of the next chunk's first pieces does: from that point both agree. A chunk without such a
+    piece is encoded anew as a whole.
     """
     split, encode = _encoder(vocabulary)
-    text = "".join(c[0] for c in chunks)
-    out: list[int] = []
-    pos, at, first = 0, 0, 0  # final up to pos; chunk `at` agrees from its piece `first` on
-    start = 0  # where chunk `at` begins
+    out: list[np.ndarray] = []
+    fresh: list[int] = []
+    pos = start = at = 0  # final up to pos; chunk ``at`` begins at start
+    agreed = agreed_ids = 0  # where in chunk ``at`` its own pieces hold, and how many of its ids come before
     while at < len(chunks):
-        chunk, ids, ends, upto = chunks[at]
-        last = len(ends) if at == len(chunks) - 1 else bisect_right(ends, len(chunk) - REACH)
-        if last > first:
-            out += ids[upto[first - 1] if first else 0 : upto[last - 1]]
-            pos = start + ends[last - 1]
-        start += len(chunk)
+        c = chunks[at]
+        end, upto = (c.size, len(c.ids)) if at == len(chunks) - 1 else (c.tail, c.tail_ids)
+        if end > agreed:
+            if fresh:
+                out.append(np.array(fresh, np.int32))
+                fresh = []
+            out.append(c.ids[agreed_ids:upto].astype(np.int32))
+            pos = start + end
+        start += c.size
         at += 1
         while at < len(chunks):
-            # encode across the join until the next chunk's pieces agree
-            while pos < start:
-                m = split.match(text, pos)
-                out += encode(m.group())
-                pos = m.end()
-            begin = pos - start
-            ends = chunks[at][2]
-            first = bisect_right(ends, begin)
-            if begin == 0 or first and ends[first - 1] == begin and begin < len(chunks[at][0]):
-                break
-            if begin >= len(chunks[at][0]):
-                start += len(chunks[at][0])
-                at += 1
-                continue
+            c = chunks[at]
+            if pos >= start:
+                begin = pos - start
+                if begin == 0:
+                    agreed = agreed_ids = 0
+                    break
+                if begin >= c.size:
+                    start += c.size
+                    at += 1
+                    continue
+                k = bisect_left(c.ends, begin)
+                if k < len(c.ends) and c.ends[k] == begin:
+                    agreed, agreed_ids = begin, c.upto[k]
+                    break
             m = split.match(text, pos)
-            out += encode(m.group())
+            fresh += encode(m.group())
             pos = m.end()
-    return out
+    if fresh:
+        out.append(np.array(fresh, np.int32))
+    return np.concatenate(out) if out else np.empty(0, np.int32)
 
 
 def _assemble(vocabulary: str):
     def run(batches):
         for batch in batches:
-            out = []
+            done = []
             for parts in batch.column(1).to_pylist():
-                by_seq = {p["seq"]: (p["chunk"], p["ids"], p["ends"], p["upto"]) for p in parts}  # repeated rows repeat their chunks
-                out.append(join_chunks([by_seq[i] for i in range(len(by_seq))], vocabulary))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int32()))], ["id", "ids"])
+                by_seq = {p["seq"]: p for p in parts}  # repeated rows repeat their chunks
+                done.append(join_chunks(by_seq[0]["text"], [_unpacked(by_seq[i]) for i in range(len(by_seq))], vocabulary))
+            ends = np.cumsum([0, *map(len, done)], dtype=np.int32)
+            flat = np.concatenate(done) if done else np.empty(0, np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "ids"])
 
     return run
 
@@ -166,23 +226,27 @@ def token_ids(df: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabul
     """The ids of every whole text, without special tokens: ``doc_id`` and ``ids``, exactly as if encoded in one piece.
 
     Texts are cut into content-defined chunks, equal chunks of all documents are encoded once, and each document's
-    chunks are joined again with the joins encoded anew until both sides agree.
+    chunks are joined again with the joins encoded anew until both sides agree. What moves are a chunk's text once per distinct chunk, its packed ids once
+    per place, and each text once.
 
     Defined cases: NULL and empty texts give an empty list; special tokens' strings are ordinary text; a row repeated with the same id and
     text comes out once, the same id with several texts once per text; extra columns are dropped; empty input, empty result.
     """
     key = df.schema[doc_id].dataType.simpleString()
     docs = spread(df.select(F.col(doc_id).alias("id"), F.col(text).alias("text")))
-    chunks = docs.where("text <> ''").mapInArrow(_chunks, f"id {key}, whole bigint, seq int, k1 bigint, k2 bigint, chunk string")
+    full = docs.where("text <> ''")
+    schema = f"id {key}, whole bigint, seq int, k1 bigint, k2 bigint, text string"
     book = (
-        chunks.groupBy("k1", "k2")
-        .agg(F.first("chunk").alias("chunk"))
-        .mapInArrow(_encode(vocabulary), "k1 bigint, k2 bigint, chunk string, ids array<int>, ends array<int>, upto array<int>")
+        full.mapInArrow(_chunks(False), schema)
+        .groupBy("k1", "k2")
+        .agg(F.first("text").alias("chunk"))
+        .mapInArrow(_encode(vocabulary), "k1 bigint, k2 bigint, size int, ids binary, heads binary, tail int, tail_ids int")
     )
-    parts = chunks.select("id", "whole", "seq", "k1", "k2").join(book, ["k1", "k2"])
+    # sorted and merged, so that a chunk of a third of all documents can be split by the adaptive plan; never broadcast
+    parts = full.mapInArrow(_chunks(True), schema).hint("merge").join(book.hint("merge"), ["k1", "k2"])
     done = (
         parts.groupBy("id", "whole")
-        .agg(F.collect_list(F.struct("seq", "chunk", "ids", "ends", "upto")).alias("parts"))
+        .agg(F.collect_list(F.struct("seq", "text", *_BOOK[2:])).alias("parts"))
         .select("id", "parts")
         .mapInArrow(_assemble(vocabulary), f"id {key}, ids array<int>")
     )

@@ -17,7 +17,9 @@ def whole():
     return lambda x: t.encode(x, add_special_tokens=False).ids
 
 
-def test_joined_chunks_equal_whole(whole, monkeypatch):
+@pytest.mark.parametrize("head", [1, 16])
+def test_joined_chunks_equal_whole(whole, monkeypatch, head):
+    monkeypatch.setattr(tokens, "HEAD", head)
     monkeypatch.setattr(tokens, "MIN_CHUNK", 3)
     monkeypatch.setattr(tokens, "CUT_BITS", 2)
     random.seed(7)
@@ -26,9 +28,11 @@ def test_joined_chunks_equal_whole(whole, monkeypatch):
         x = "".join(random.choice(alphabet) for _ in range(random.randint(1, 70)))
         a, chunks = 0, []
         for b in tokens.cuts([x])[0]:
-            chunks.append((x[a:b], *tokens.encode_chunk(x[a:b])))
+            c = tokens.encode_chunk(x[a:b])
+            packed = {"size": c.size, "ids": tokens._packed(c.ids), "heads": tokens.np.array([c.ends, c.upto], "<u4").tobytes(), "tail": c.tail, "tail_ids": c.tail_ids}
+            chunks.append(tokens._unpacked(packed))
             a = b
-        assert tokens.join_chunks(chunks) == whole(x)
+        assert tokens.join_chunks(x, chunks).tolist() == whole(x)
 
 
 def test_rows(spark, whole):
@@ -46,3 +50,15 @@ def test_cuts_depend_on_content():
     body = "".join(random.choice("abcdefgh ") for _ in range(4000))
     a, b = tokens.cuts([body])[0], tokens.cuts(["x" * 77 + body])[0]
     assert len({x + 77 for x in a} & set(b)) >= 0.7 * len(a) and tokens.cuts([]) == [] and tokens.cuts([""]) == [[]]
+
+
+def test_ids_of_any_size_survive_packing():
+    for ids in ([], [1, 65535], [65536, 3, 200_000]):
+        assert tokens._unpacked({"size": 0, "ids": tokens._packed(tokens.np.array(ids, tokens.np.uint32)), "heads": b"", "tail": 0, "tail_ids": 0}).ids.tolist() == ids
+
+
+def test_a_chunk_of_a_third_of_all_documents(spark, whole):
+    boiler = "All rights reserved by the invented publisher of this text, who grants nothing at all to anybody. " * 8
+    texts = [(i, boiler + f"Own words {i}." if i % 3 == 0 else f"Document {i} says {i * 7}.") for i in range(300)]
+    got = {r["doc_id"]: r["ids"] for r in tokens.token_ids(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()}
+    assert got == {i: whole(t) for i, t in texts}
