@@ -5,10 +5,10 @@ from __future__ import annotations
 import difflib
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def same_link(rows: DataFrame, pos: str = "row_pos") -> DataFrame:
@@ -17,37 +17,87 @@ def same_link(rows: DataFrame, pos: str = "row_pos") -> DataFrame:
     return r.join(r.withColumnRenamed("a", "b"), "link").where("a < b").select("a", "b", F.lit(1.0).alias("ratio"), F.lit("same DOI").alias("reason"))
 
 
-@F.pandas_udf(T.DoubleType())
-def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
+#: Titles of a block; two blocks are compared by one task at a time.
+BLOCK = 2000
+_LETTERS = {c: i for i, c in enumerate("abcdefghijklmnopqrstuvwxyz0123456789 ")}
+
+
+def _neighbours(texts: list[str]) -> np.ndarray:
+    """Which pairs of neighbouring characters each text holds."""
+    out = np.zeros((len(texts), len(_LETTERS) ** 2), np.float32)
+    for row, t in zip(out, texts):
+        codes = [_LETTERS[c] for c in t]
+        row[[a * len(_LETTERS) + b for a, b in zip(codes, codes[1:])]] = 1
+    return out
+
+
+def _compare(threshold: float):
+    """Compare the titles of two blocks (side 0 and 1; side 2: one block with itself): x, y and the ratio both ways of pairs that reach ``threshold``.
+
+    Counts of letters are compared for all pairs at once. Of n + m characters the matching blocks of a pair hold M >= threshold (n + m) / 2, there are at most
+    n + m - 2 M + 1 of them and each loses one pair of neighbours, which bounds the pairs of neighbours that two titles share; only what passes both is matched.
+    """
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        one, two = pdf[pdf.side != 1].t.tolist(), pdf[pdf.side != 0].t.tolist()
+        itself = bool((pdf.side == 2).all())
+        tables = []
+        for texts in (one, two):
+            h = np.zeros((len(texts), len(_LETTERS)), np.int32)
+            for row, t in zip(h, texts):
+                for ch in t:
+                    row[_LETTERS[ch]] += 1
+            tables.append(h)
+        a, b = tables
+        total = a.sum(1)[:, None] + b.sum(1)[None, :]
+        common = np.zeros_like(total)
+        for k in range(len(_LETTERS)):
+            common += np.minimum.outer(a[:, k], b[:, k])
+        mask = (2 * common >= threshold * total - 1e-9) & (np.abs(a.sum(1)[:, None] - b.sum(1)[None, :]) <= 0.35 * np.maximum.outer(a.sum(1), b.sum(1)))
+        if itself:
+            mask = np.triu(mask, 1)
+        shared, again = _neighbours(one) @ _neighbours(two).T, []
+        for texts, held in ((one, _neighbours(one)), (two, _neighbours(two))):
+            again.append(np.array([len(t) - 1 for t in texts]) - held.sum(1))  # pairs that stand more than once
+        mask &= shared + np.minimum.outer(*again) + 1e-3 >= (threshold / 2 - (1 - threshold)) * total - 1
+        found, matcher = [], difflib.SequenceMatcher(None)
+        for j, i in np.argwhere(mask.T).tolist():
+            x, y = one[i], two[j]
+            if matcher.b is not y:
+                matcher.set_seq2(y)
+            matcher.set_seq1(x)
+            xy, yx = matcher.ratio(), difflib.SequenceMatcher(None, y, x).ratio()
+            if max(xy, yx) >= threshold:
+                found.append((x, y, xy, yx))
+        return pd.DataFrame(found, columns=["x", "y", "xy", "yx"])
+
+    return run
 
 
 def similar_titles(rows: DataFrame, threshold: float = 0.88, pos: str = "row_pos") -> DataFrame:
     """Pairs of rows whose normalised titles reach a matching-blocks ratio of ``threshold``.
 
     Equal titles are one class, compared once. Classes meet in buckets of the logarithm of their length (neighbouring
-    buckets too), which loses no pair: the ratio bounds the lengths. The bound by common characters then
-    spares most comparisons of the exact, order-dependent ratio.
+    buckets too), which loses no pair: the ratio bounds the lengths. Buckets are split into blocks of about BLOCK titles, however full they are, and
+    every two blocks of like length are compared (see :func:`_compare`), so no bucket is one task's work. The work grows with the square of the distinct titles.
     """
     title = F.regexp_replace(F.lower("title"), "[^a-z0-9 ]", "")
     t = rows.where(F.col("title").isNotNull()).select(F.col(pos).alias("p"), title.alias("t"), F.lower(F.coalesce("link", F.lit(""))).contains("10.48550").alias("pre")).where("t <> ''")
-    classes = t.groupBy("t").agg(F.min("p").alias("c"))
-    n = F.length("t")
     step = math.log((2 - threshold) / threshold)
-    letters = "abcdefghijklmnopqrstuvwxyz0123456789 "
-    hist = F.array(*[(n - F.length(F.replace("t", F.lit(ch), F.lit("")))).cast("int") for ch in letters])
-    c = classes.withColumns({"n": n, "k": F.floor(F.log(n.cast("double")) / step), "h": hist})
-    near = c.select(F.explode(F.array(F.col("k") - 1, F.col("k"), F.col("k") + 1)).alias("k"), *(F.col(x).alias(f"{x}2") for x in ("t", "c", "n", "h")))
-    common = F.aggregate(F.zip_with("h", "h2", lambda x, y: F.least(x, y)), F.lit(0), lambda s, v: s + v)
-    met = (
-        c.join(near, "k")
-        .where("c < c2")
-        .where(F.abs(F.col("n") - F.col("n2")) <= F.lit(0.35) * F.greatest("n", "n2"))
-        .where(F.least("n", "n2") * 2 >= F.lit(threshold) * (F.col("n") + F.col("n2")))
-        .where(common * 2 >= F.lit(threshold) * (F.col("n") + F.col("n2")))
-    )
+    c = t.select("t").distinct().withColumn("k", F.floor(F.log(F.length("t").cast("double")) / step).cast("int"))
+    # one number for each order of length
+    many = {r["k"]: -(-r["count"] // BLOCK) for r in c.groupBy("k").count().collect()}
+    none = F.array().cast("array<struct<k1:int,b1:int,k2:int,b2:int,side:int>>")
+    size = lambda k: F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kn in many.items() for x in kn)), k), F.lit(0)) if many else F.lit(0)
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    k, blk = F.col("k"), F.col("b")
+    cell = lambda k1, b1, k2, b2, side: F.struct(k1.alias("k1"), b1.alias("b1"), k2.alias("k2"), b2.alias("b2"), side.alias("side"))
+    inside = F.transform(upto(size(k)), lambda j: cell(k, F.least(blk, j), k, F.greatest(blk, j), F.when(j == blk, 2).when(j > blk, 0).otherwise(1)))
+    above = F.transform(upto(size(k + 1)), lambda j: cell(k, blk, k + 1, j, F.lit(0)))
+    below = F.transform(upto(size(k - 1)), lambda j: cell(k - 1, j, k, blk, F.lit(1)))
+    placed = c.withColumn("b", F.pmod(F.xxhash64("t"), F.greatest(size(k), F.lit(1))).cast("int")).select("t", F.explode(F.concat(none, inside, above, below)).alias("c")).select("t", "c.*")
     # the ratio depends on the order of the two, and rows of two classes may stand in either order
-    both = met.select(F.col("t").alias("x"), F.col("t2").alias("y"), _ratio("t", "t2").alias("xy"), _ratio("t2", "t").alias("yx")).where((F.col("xy") >= threshold) | (F.col("yx") >= threshold))
+    both = placed.groupBy("k1", "b1", "k2", "b2").applyInPandas(_compare(threshold), "x string, y string, xy double, yx double")
     a, b = t.select(F.col("p").alias("pa"), F.col("t").alias("x"), F.col("pre").alias("ea")), t.select(F.col("p").alias("pb"), F.col("t").alias("y"), F.col("pre").alias("eb"))
     first = F.col("pa") < F.col("pb")
     across = both.join(a, "x").join(b, "y").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"), F.when(first, F.col("xy")).otherwise(F.col("yx")).alias("ratio"), "ea", "eb")

@@ -197,3 +197,19 @@ def test_figure_gate_ticks_and_arrows(spark):
         reports.figure(pts, ["b"])
     svg = reports.figure(pts, ["a"], axis={2000: 0.1, 2010: 0.9}, arrows=[("R1", "R2", "red", "x"), ("R1", "R9", "red", "y")], emphasis=frozenset({"R2"}))
     assert ">2000</text>" in svg and svg.count("<path") == 1 and svg.count("stroke-width") == 1 and "Doe 2000" in svg
+
+
+def test_an_unreadable_table_stops_a_gated_batch(spark, tmp_path):
+    """Only a missing table counts as empty: one whose files can't be read must not let repeated keys through."""
+    path = tmp_path / "t"
+    assert batches.epochs(spark, str(path), 5) == []
+    (path / "epoch=-1").mkdir(parents=True)
+    (path / "epoch=-1" / "part.parquet").write_bytes(b"no parquet")
+    (path / "epoch=7").mkdir()
+    assert batches.epochs(spark, str(path), 5) == [-1]
+    src = tmp_path / "in"
+    spark.createDataFrame([("A",)], "ref string").write.parquet(str(src))
+    stream = spark.readStream.schema("ref string").parquet(str(src))
+    query = batches.gated_append(stream, str(path), str(tmp_path / "r"), str(tmp_path / "c")).trigger(availableNow=True).start()
+    with pytest.raises(Exception):
+        query.awaitTermination(60)
