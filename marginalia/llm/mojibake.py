@@ -17,7 +17,8 @@ from marginalia.session import spread
 MISREAD_AS = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1251", "cp1250", "iso8859_15")
 #: Single-byte pairs: (misread as, intended).
 SINGLE_BYTE = (("mac_roman", "cp1252"), ("cp437", "cp1252"), ("cp850", "cp1252"), ("cp1252", "mac_roman"))
-MAX_LAYERS = 4
+#: The longest stretch tried at once inside a run that can't be read as a whole; longer garbled stretches are repaired one after the other.
+STRETCH = 24
 
 _RUN = re.compile(r"[^\x00-\x7f]+(?:[  -   　](?=[^\x00-\x7f])[^\x00-\x7f]+)*")
 _ZERO_WIDTH = re.compile("[\u200b-\u200d\u2060\ufeff]")
@@ -110,7 +111,7 @@ def _accents_fit(before: str, s: str, after: str) -> bool:
 def repair_run(before: str, run: str, after: str) -> tuple[str, str]:
     """The restored form of a run of foreign characters and the encodings it went through ('' if it was fine)."""
     best, path = run, ""
-    for _ in range(MAX_LAYERS):
+    while True:  # every layer lowers the cost, so this ends
         now, found = cost(before, best, after), None
         for codec in MISREAD_AS:
             try:
@@ -169,10 +170,14 @@ def repair_text(text: str | None) -> tuple[str | None, str, bool]:
 
 
 def _parts(before: str, run: str, after: str) -> tuple[str, str]:
-    """Repair the longest garbled stretches inside a run that can't be read as a whole."""
+    """Repair the longest garbled stretches inside a run that can't be read as a whole.
+
+    A garbled letter takes two to four characters a layer, so STRETCH holds several of up to two layers and any letter of three in the common
+    encodings; a stretch of more letters than fit is repaired in pieces, each of whole letters.
+    """
     i, out, paths = 0, [], []
     while i < len(run):
-        for j in range(min(len(run), i + 24), i + 1, -1):
+        for j in range(min(len(run), i + STRETCH), i + 1, -1):
             if i == 0 and j == len(run):
                 continue
             fixed, path = repair_run(run[i - 1 : i] or before, run[i:j], run[j : j + 1] or after)
