@@ -31,11 +31,29 @@ def _neighbours(texts: list[str]) -> np.ndarray:
     return out
 
 
+def _places(text: str) -> dict[str, int]:
+    """A bit for every place of each character."""
+    out: dict[str, int] = {}
+    for i, c in enumerate(text):
+        out[c] = out.get(c, 0) | 1 << i
+    return out
+
+
+def _common(text: str, places: dict[str, int]) -> int:
+    """The length of the longest common subsequence with the text of ``places``, all its places at once in one integer."""
+    row = 0
+    for c in text:
+        x = row | places.get(c, 0)
+        row = x & ((x - ((row << 1) | 1)) ^ x)
+    return row.bit_count()
+
+
 def _compare(threshold: float):
     """Compare the titles of two blocks (side 0 and 1; side 2: one block with itself): x, y and the ratio both ways of pairs that reach ``threshold``.
 
     Counts of letters are compared for all pairs at once. Of n + m characters the matching blocks of a pair hold M >= threshold (n + m) / 2, there are at most
-    n + m - 2 M + 1 of them and each loses one pair of neighbours, which bounds the pairs of neighbours that two titles share; only what passes both is matched.
+    n + m - 2 M + 1 of them and each loses one pair of neighbours, which bounds the pairs of neighbours that two titles share. The blocks are a common
+    subsequence, so the longest one bounds M too; only what passes all three is matched.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -60,9 +78,13 @@ def _compare(threshold: float):
         for texts, held in ((one, _neighbours(one)), (two, _neighbours(two))):
             again.append(np.array([len(t) - 1 for t in texts]) - held.sum(1))  # pairs that stand more than once
         mask &= shared + np.minimum.outer(*again) + 1e-3 >= (threshold / 2 - (1 - threshold)) * total - 1
-        found, matcher = [], difflib.SequenceMatcher(None)
+        found, matcher, last, at = [], difflib.SequenceMatcher(None), None, {}
         for j, i in np.argwhere(mask.T).tolist():
             x, y = one[i], two[j]
+            if y is not last:
+                last, at = y, _places(y)
+            if 2 * _common(x, at) < threshold * (len(x) + len(y)) - 1e-9:
+                continue
             if matcher.b is not y:
                 matcher.set_seq2(y)
             matcher.set_seq1(x)

@@ -53,6 +53,24 @@ cited as (
   select distinct doc_id, c as citation from s where regexp_matches(c, ',\s*\d{{4}}[a-z]?$')
   union select doc_id, concat(replace(regexp_extract(m, '^(.*?)\s+\(', 1), ' and ', ' & '), ', ', regexp_extract(m, '\((\d{{4}}[a-z]?)\)$', 1)) from nrr)"""
 _FOLD = "trim(translate(lower(strip_accents({})), '’‘‐‑', '''''--'))"
+
+
+def _letters_only(text: str) -> str:
+    """SQL for the letters a to z of a text after compatibility decomposition, from Unicode's own data: characters for one letter, then ligatures."""
+    import unicodedata
+
+    plain = lambda o: "".join(c for c in unicodedata.normalize("NFKD", chr(o)) if not unicodedata.combining(c)).lower()
+    one, more = {}, {}
+    for o in (*range(0x80, 0x2C00), *range(0xFB00, 0xFB07), *range(0xFF00, 0xFFF0), *range(0x1D400, 0x1D800)):
+        letters = "".join(c for c in plain(o) if "a" <= c <= "z")
+        if letters and unicodedata.category(chr(o))[0] in "LSN":
+            (one if len(letters) == 1 else more)[chr(o)] = letters
+    sql = f"translate({text}, '{''.join(one)}', '{''.join(one.values())}')"
+    for c in ("ﬀ", "ﬁ", "ﬂ", "ﬃ", "ﬄ", "ﬅ", "ﬆ", "Ĳ", "ĳ", "ﬆ", "™", "℠", "№", "℡"):
+        sql = f"replace({sql}, '{c}', '{more[c]}')"
+    return f"regexp_replace(lower(strip_accents({sql})), '[^a-z]', '', 'g')"
+
+
 _SOURCE = f"(({_DOI_OF}) is not null or coalesce(arxiv, '') <> '')"
 _RUN = r"""(select coalesce(max(c), 0) from (select count(*) as c from (
    select i, sum(case when big then 0 else 1 end) over (order by i) as grp, big from (
@@ -211,6 +229,7 @@ select row_pos, pos, family, given, array_to_string(list_transform(list_filter(s
 select (select count(*) from paper_rows) as n_rows, (select count(distinct row_pos) from findings) as n_defective, (select count(*) from findings) as n_defects,
   (select count(distinct row_pos) from notes) as n_noted, (select count(*) from f where changes <> '') as n_repairable, (select count_if(coalesce(canonical_at, '') <> '') from paper_rows) as n_canonical""",
         "reference_list": "with r as (select trim(apa) as a, min_by(link, row_pos) as link, min(row_pos) as first_pos from paper_rows where coalesce(trim(apa), '') <> '' group by 1) select case when regexp_matches(a, '[.?!]$') then a else concat(a, '.') end as reference, link, first_pos from r",
+        "reference_order": f"with r as (select trim(apa) as a, min(row_pos) as first_pos from paper_rows where coalesce(trim(apa), '') <> '' group by 1) select first_pos, {_letters_only('a')} as sort_key from r",
         "suspect_surnames": f"{_PARSED}, {_SUSPECTS} select row_pos, surname from suspects",
         "cite_keys": f"{_KEYS} select row_pos, key from keys",
         "cites_in_text": f"with {_CITED.strip()} select doc_id, citation from cited",

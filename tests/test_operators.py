@@ -211,3 +211,27 @@ def test_gates_raise(spark):
     with pytest.raises(ValueError, match="missing: \\['R2'\\]"):
         families.gate(families.violations(rows, assigned, fams))
     families.gate(families.violations(rows.where("ref = 'R1'"), assigned.where("ref = 'R1'"), fams))
+
+
+def test_similar_titles_match_brute_force(spark, monkeypatch):
+    """Blocks of a few titles give what comparing every title with every other gives, both ways of the order-dependent ratio."""
+    import difflib
+    import random
+
+    monkeypatch.setattr(duplicates, "BLOCK", 7)
+    rng = random.Random(9)
+    words = "sleep memory attention reward of the in and a study mice humans model networks during learning".split()
+    titles = []
+    for i in range(60):
+        base = " ".join(rng.choice(words) for _ in range(rng.randint(1, 9))) if i % 2 or not titles else rng.choice(titles)
+        cut = rng.randrange(len(base))
+        titles.append(base if rng.random() < 0.3 else base[:cut] + rng.choice("xyz ") + base[cut + rng.randint(0, 2) :])
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(titles)] + [(99, None, None), (98, "", None), (97, "?!", None)], "row_pos int, title string, link string")
+    got = {(r["a"], r["b"]): r["ratio"] for r in duplicates.similar_titles(df).collect()}
+    want = {}
+    for i, x in enumerate(titles):
+        for j, y in enumerate(titles[i + 1 :], i + 1):
+            ratio = difflib.SequenceMatcher(None, x, y).ratio()
+            if ratio >= 0.88 and abs(len(x) - len(y)) <= 0.35 * max(len(x), len(y)):
+                want[i, j] = round(ratio, 6)
+    assert got == want and len(want) > 20
