@@ -19,6 +19,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The rolling hash looks at so many characters; a chunk has at least MIN_CHUNK and about 2**CUT_BITS characters more.
 WINDOW, MIN_CHUNK, CUT_BITS = 16, 64, 8
+#: Characters hashed at once, and documents joined at once: what a worker holds stays small whatever a batch holds.
+SEGMENT, JOINED = 1 << 20, 500
 #: How far back from its end a piece of the pattern may be decided by what follows: one character of lookahead, two of a contraction.
 REACH = 3
 
@@ -46,21 +48,30 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> list[int]:
         ids = self.encode(piece.encode())
-        if len(piece) < 64 and len(self) < 200_000:
+        if len(piece) < 64 and len(self) < 100_000:
             self[piece] = ids
         return ids
 
 
+def _hits(codes: np.ndarray, start: int) -> np.ndarray:
+    """The ends of windows in SEGMENT characters from ``start`` on whose hash has CUT_BITS zero bits."""
+    before = max(0, start - WINDOW + 1)
+    h = (codes[before : start + SEGMENT].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    # the hash of a window is that of its halves, so four steps make windows of sixteen
+    width = 1
+    while width < WINDOW:
+        if width < len(h):
+            h[width:] = h[width:] + h[:-width] * np.uint64(pow(0x5851F42D4C957F2D, width, 2**64))
+        width *= 2
+    return np.flatnonzero(h[start - before :] >> np.uint64(64 - CUT_BITS) == 0) + start + 1
+
+
 def cuts(texts: list[str]) -> list[list[int]]:
     """The chunk ends of each text: where the rolling hash of the last WINDOW characters has CUT_BITS zero bits."""
     if not texts:
         return []
-    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
-    mixed = (codes + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    h = np.zeros(len(codes), np.uint64)
-    for k in range(min(WINDOW, len(codes))):
-        h[k:] += mixed[: len(codes) - k] * np.uint64(pow(0x5851F42D4C957F2D, k, 2**64))
-    hits = np.flatnonzero(h >> np.uint64(64 - CUT_BITS) == 0) + 1
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    hits = np.concatenate([_hits(codes, a) for a in range(0, len(codes), SEGMENT)] or [np.empty(0, np.int64)])
     out, start = [], 0
     for t in texts:
         end, last, own = start + len(t), start, []
@@ -76,7 +87,7 @@ def cuts(texts: list[str]) -> list[list[int]]:
 
 
 #: Of a chunk's pieces so many from its start are kept for finding agreement with what is encoded across the join.
-HEAD = 16
+HEAD = 8
 
 
 @dataclass(frozen=True)
@@ -91,32 +102,33 @@ class Encoded:
     tail_ids: int
 
 
-def _chunks(whole_text: bool):
-    """One row per chunk: (id, digest of the text, number, digest of the chunk, size) and the chunk, or the whole text with the first chunk."""
+def _chunks(with_text: bool):
+    """One row per chunk of (id, text, digest of the text): id, digest, number and digest of the chunk, and the chunk itself if asked for."""
 
     def run(batches):
         import xxhash
 
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            rows, whole, seq, k1, k2, text = [], [], [], [], [], []
+            rows, seq, k1, k2, text = [], [], [], [], []
             for i, (t, ends) in enumerate(zip(texts, cuts(texts))):
-                digest = xxhash.xxh3_64_intdigest(t.encode()) - 2**63
                 a = 0
                 for n, b in enumerate(ends):
                     part = t[a:b]
                     d = xxhash.xxh3_128_intdigest(part.encode())
                     rows.append(i)
-                    whole.append(digest)
                     seq.append(n)
                     k1.append((d >> 64) - 2**63)
                     k2.append((d & (2**64 - 1)) - 2**63)
-                    text.append((None if n else t) if whole_text else part)
+                    if with_text:
+                        text.append(part)
                     a = b
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(whole, pa.int64()), pa.array(seq, pa.int32()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(text, pa.string())],
-                ["id", "whole", "seq", "k1", "k2", "text"],
-            )
+            keys = [pa.array(k1, pa.int64()), pa.array(k2, pa.int64())]
+            if with_text:
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(text, pa.string())], ["k1", "k2", "chunk"])
+            else:
+                at = pa.array(rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), pa.array(seq, pa.int32()), *keys], ["id", "whole", "seq", "k1", "k2"])
 
     return run
 
@@ -139,7 +151,7 @@ def _encode(vocabulary: str):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1), pa.array([d.size for d in done], pa.int32()), pa.array([_packed(d.ids) for d in done], pa.binary()),
-                    pa.array([np.array([d.ends, d.upto], "<u4").tobytes() for d in done], pa.binary()), pa.array([d.tail for d in done], pa.int32()), pa.array([d.tail_ids for d in done], pa.int32()),
+                    pa.array([_packed(np.array([*d.ends, *d.upto], np.uint32)) for d in done], pa.binary()), pa.array([d.tail for d in done], pa.int32()), pa.array([d.tail_ids for d in done], pa.int32()),
                 ],
                 _BOOK,
             )
@@ -150,16 +162,20 @@ def _encode(vocabulary: str):
 _BOOK = ["k1", "k2", "size", "ids", "heads", "tail", "tail_ids"]
 
 
-def _packed(ids: np.ndarray) -> bytes:
-    """Ids in two bytes each where they fit, else four; the first byte says which."""
-    wide = bool(len(ids)) and int(ids.max()) > 0xFFFF
-    return (b"4" if wide else b"2") + ids.astype("<u4" if wide else "<u2").tobytes()
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers in two bytes each where they fit, else four; the first byte says which."""
+    wide = bool(len(numbers)) and int(numbers.max()) > 0xFFFF
+    return (b"4" if wide else b"2") + numbers.astype("<u4" if wide else "<u2").tobytes()
+
+
+def _numbers(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, "<u4" if packed[:1] == b"4" else "<u2", offset=1)
 
 
 def _unpacked(part: dict) -> Encoded:
-    heads = np.frombuffer(part["heads"], "<u4").reshape(2, -1).tolist()
-    ids = np.frombuffer(part["ids"], "<u4" if part["ids"][:1] == b"4" else "<u2", offset=1)
-    return Encoded(part["size"], ids, heads[0], heads[1], part["tail"], part["tail_ids"])
+    heads = _numbers(part["heads"]).tolist()
+    half = len(heads) // 2
+    return Encoded(part["size"], _numbers(part["ids"]), heads[:half], heads[half:], part["tail"], part["tail_ids"])
 
 
 def join_chunks(text: str, chunks: list[Encoded], vocabulary: str = VOCABULARY) -> np.ndarray:
@@ -212,9 +228,10 @@ def _assemble(vocabulary: str):
     def run(batches):
         for batch in batches:
             done = []
-            for parts in batch.column(1).to_pylist():
+            lists = (parts for a in range(0, batch.num_rows, JOINED) for parts in batch.column(1).slice(a, JOINED).to_pylist())
+            for parts in lists:
                 by_seq = {p["seq"]: p for p in parts}  # repeated rows repeat their chunks
-                done.append(join_chunks(by_seq[0]["text"], [_unpacked(by_seq[i]) for i in range(len(by_seq))], vocabulary))
+                done.append(join_chunks(by_seq[-1]["text"], [_unpacked(by_seq[i]) for i in range(len(by_seq) - 1)], vocabulary))
             ends = np.cumsum([0, *map(len, done)], dtype=np.int32)
             flat = np.concatenate(done) if done else np.empty(0, np.int32)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "ids"])
@@ -234,21 +251,18 @@ def token_ids(df: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabul
     """
     key = df.schema[doc_id].dataType.simpleString()
     docs = spread(df.select(F.col(doc_id).alias("id"), F.col(text).alias("text")))
-    full = docs.where("text <> ''")
-    schema = f"id {key}, whole bigint, seq int, k1 bigint, k2 bigint, text string"
+    full = docs.where("text <> ''").withColumn("whole", F.xxhash64("text"))
     book = (
-        full.mapInArrow(_chunks(False), schema)
+        full.mapInArrow(_chunks(True), "k1 bigint, k2 bigint, chunk string")
         .groupBy("k1", "k2")
-        .agg(F.first("text").alias("chunk"))
+        .agg(F.first("chunk").alias("chunk"))
         .mapInArrow(_encode(vocabulary), "k1 bigint, k2 bigint, size int, ids binary, heads binary, tail int, tail_ids int")
     )
     # sorted and merged, so that a chunk of a third of all documents can be split by the adaptive plan; never broadcast
-    parts = full.mapInArrow(_chunks(True), schema).hint("merge").join(book.hint("merge"), ["k1", "k2"])
-    done = (
-        parts.groupBy("id", "whole")
-        .agg(F.collect_list(F.struct("seq", "text", *_BOOK[2:])).alias("parts"))
-        .select("id", "parts")
-        .mapInArrow(_assemble(vocabulary), f"id {key}, ids array<int>")
-    )
+    places = full.mapInArrow(_chunks(False), f"id {key}, whole bigint, seq int, k1 bigint, k2 bigint")
+    parts = places.hint("merge").join(book.hint("merge"), ["k1", "k2"]).select("id", "whole", F.struct("seq", F.lit(None).cast("string").alias("text"), *_BOOK[2:]).alias("part"))
+    blank = {"size": "int", "ids": "binary", "heads": "binary", "tail": "int", "tail_ids": "int"}
+    texts = full.select("id", "whole", F.struct(F.lit(-1).alias("seq"), "text", *(F.lit(None).cast(t).alias(c) for c, t in blank.items())).alias("part"))
+    done = parts.union(texts).groupBy("id", "whole").agg(F.collect_list("part").alias("parts")).select("id", "parts").mapInArrow(_assemble(vocabulary), f"id {key}, ids array<int>")
     none = docs.where("text is null or text = ''").select("id").distinct().select("id", F.array().cast("array<int>").alias("ids"))
     return done.unionByName(none).withColumnRenamed("id", doc_id)

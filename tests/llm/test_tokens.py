@@ -29,7 +29,7 @@ def test_joined_chunks_equal_whole(whole, monkeypatch, head):
         a, chunks = 0, []
         for b in tokens.cuts([x])[0]:
             c = tokens.encode_chunk(x[a:b])
-            packed = {"size": c.size, "ids": tokens._packed(c.ids), "heads": tokens.np.array([c.ends, c.upto], "<u4").tobytes(), "tail": c.tail, "tail_ids": c.tail_ids}
+            packed = {"size": c.size, "ids": tokens._packed(c.ids), "heads": tokens._packed(tokens.np.array([*c.ends, *c.upto], tokens.np.uint32)), "tail": c.tail, "tail_ids": c.tail_ids}
             chunks.append(tokens._unpacked(packed))
             a = b
         assert tokens.join_chunks(x, chunks).tolist() == whole(x)
@@ -54,7 +54,7 @@ def test_cuts_depend_on_content():
 
 def test_ids_of_any_size_survive_packing():
     for ids in ([], [1, 65535], [65536, 3, 200_000]):
-        assert tokens._unpacked({"size": 0, "ids": tokens._packed(tokens.np.array(ids, tokens.np.uint32)), "heads": b"", "tail": 0, "tail_ids": 0}).ids.tolist() == ids
+        assert tokens._unpacked({"size": 0, "ids": tokens._packed(tokens.np.array(ids, tokens.np.uint32)), "heads": b"2", "tail": 0, "tail_ids": 0}).ids.tolist() == ids
 
 
 def test_a_chunk_of_a_third_of_all_documents(spark, whole):
@@ -62,3 +62,16 @@ def test_a_chunk_of_a_third_of_all_documents(spark, whole):
     texts = [(i, boiler + f"Own words {i}." if i % 3 == 0 else f"Document {i} says {i * 7}.") for i in range(300)]
     got = {r["doc_id"]: r["ids"] for r in tokens.token_ids(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()}
     assert got == {i: whole(t) for i, t in texts}
+
+
+def test_windows_hash_as_a_sum_over_their_characters(monkeypatch):
+    text = "".join(chr(random.Random(5).randrange(32, 500) + k % 7) for k in range(400))
+    mixed = [(ord(c) + 1) * 0x9E3779B97F4A7C15 % 2**64 for c in text]
+    slow = [sum(mixed[i - k] * pow(0x5851F42D4C957F2D, k, 2**64) for k in range(tokens.WINDOW) if i >= k) % 2**64 for i in range(len(text))]
+    ends, last = [], 0
+    for i, h in enumerate(slow):
+        if h >> (64 - tokens.CUT_BITS) == 0 and i + 1 - last >= tokens.MIN_CHUNK and i + 1 < len(text):
+            ends.append(last := i + 1)
+    for segment in (1 << 20, 400, 37, 16):
+        monkeypatch.setattr(tokens, "SEGMENT", segment)
+        assert tokens.cuts([text, "x"]) == [[*ends, len(text)], [1]]
