@@ -356,7 +356,8 @@ def text_signal_match(s, d):
 
 
 def text_best_match(s, d):
-    return reconcile.best_with_margin(text_signal_match(s, d), "doc_id")
+    # the margin needs a page's two best
+    return reconcile.best_with_margin(reconcile.text_matches(table(s, d, "documents"), _manifest(s, d), "doc_id", "text", best=2), "doc_id")
 
 
 def slug_claims(s, d):

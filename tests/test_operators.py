@@ -158,6 +158,13 @@ def test_text_pairs_are_never_joined(spark):
         reconcile.PART, reconcile.TITLES = kept
 
 
+def test_best_match_from_the_best_of_every_name(spark):
+    pages, man = _text_tables(spark)
+    whole, some = (reconcile.text_matches(pages, man, "page", "text", best=b) for b in (None, 2))
+    assert some.count() < whole.count() // 5
+    assert rows(reconcile.best_with_margin(some, "page")) == rows(reconcile.best_with_margin(whole, "page"))
+
+
 def test_references(spark):
     df = spark.createDataFrame([(1, "Zeidan, F. (2015). Does it work?", "l1"), (2, "Millière, R. (2018). T. V", "l2"), (3, " Miller, A. (2000). T. V. ", "l3"), (4, "Miller, A. (2000). T. V.", "l4"), (5, "", "l5"), (6, None, None)], "row_pos int, apa string, link string")
     got = references.reference_list(df).orderBy("sort_key", "first_pos").collect()
