@@ -165,6 +165,14 @@ def test_best_match_from_the_best_of_every_name(spark):
     assert rows(reconcile.best_with_margin(some, "page")) == rows(reconcile.best_with_margin(whole, "page"))
 
 
+def test_claims_do_not_move_every_match(spark):
+    """Best matches are claimed from a page's best ones: the only join of the query is that with the documents' dates."""
+    from marginalia.plans.queries import slug_claims
+
+    plan = slug_claims(spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Join") == 1
+
+
 def test_references(spark):
     df = spark.createDataFrame([(1, "Zeidan, F. (2015). Does it work?", "l1"), (2, "Millière, R. (2018). T. V", "l2"), (3, " Miller, A. (2000). T. V. ", "l3"), (4, "Miller, A. (2000). T. V.", "l4"), (5, "", "l5"), (6, None, None)], "row_pos int, apa string, link string")
     got = references.reference_list(df).orderBy("sort_key", "first_pos").collect()
