@@ -83,6 +83,12 @@ def test_inconsistent_rows_and_groups(spark):
     assert [tuple(r) for r in confusables.lookalike_groups(names, "name").collect()] == [("Ann", "Ann", 2, 6)]
 
 
+def test_cases_are_decided_by_their_group(spark):
+    """A text that is a form of its group is no case, whichever row has that form; the same text in another group is one."""
+    seen = spark.createDataFrame([(1, 1, 0, "x", "y"), (2, 1, 0, "z", "x"), (3, 2, 0, "x", "y"), (4, 2, 0, "y", "y")], "row_pos int, h1 bigint, h2 bigint, text string, own string")
+    assert sorted((r["row_pos"], r["form"]) for r in confusables._unlike_their_group(seen).collect()) == [(2, "y"), (3, "y")]
+
+
 def test_strange_leaves_out_no_letter_that_is_rewritten(spark):
     df = spark.createDataFrame([(i, chr(i)) for i in range(1, 0x3000)], "i int, t string")
     left_out = {r["t"] for r in df.where(~confusables.strange(df["t"])).collect()}
